@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from lexalign.llm import substrings
+from lexalign.llm import decontamination, embeddings, ngram_jaccard, packing, substrings
 
-QUERIES = {"op10_substrings": substrings.op10_substrings}
-SQL = {"op10_substrings": substrings.SQL}
+QUERIES = {
+    "op1_ngram_jaccard": ngram_jaccard.op1_ngram_jaccard,
+    "op3_decontamination": decontamination.op3_decontamination,
+    "op4_packing": packing.op4_packing,
+    "op7_embeddings": embeddings.op7_embeddings,
+    "op10_substrings": substrings.op10_substrings,
+}
+SQL = {
+    "op1_ngram_jaccard": ngram_jaccard.SQL,
+    "op3_decontamination": decontamination.SQL,
+    "op7_embeddings": embeddings.SQL,
+    "op10_substrings": substrings.SQL,
+}
