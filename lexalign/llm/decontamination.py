@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexalign.llm.storage import Scratch
+from lexalign.llm.storage import Scratch, maybe_broadcast
 
 WINDOW = 10
 SHINGLE = 5
@@ -93,7 +93,7 @@ def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, length: int
     docs = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wins = scratch.cut(windows(items, length, k))
     ks = sorted(r.k for r in wins.select("k").distinct().collect()) or [k]  # k of them at most
-    prefix = scratch.cut(rarest(docs, wins, ks, scratch, block).join(wins, "window").drop("window"))
+    prefix = scratch.cut(rarest(docs, wins, ks, scratch, block).join(wins, "window").select("key", "offset", "words", "items"))
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
     start, size = F.col("at") - F.col("offset"), F.size("words")
     found = F.col("offset").isNotNull() & (start >= 0) & (start + size <= F.size("w")) & (F.slice("w", F.greatest(start, F.lit(0)) + 1, size) == F.col("words"))
@@ -123,6 +123,15 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, length
     return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def keep_clean(spark: SparkSession, docs: DataFrame, items: DataFrame, length: int = WINDOW, k: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+    """``docs`` without the rows that :func:`decontaminate` finds contaminated. All columns stay."""
+    scratch = Scratch(spark, "clean")
+    key = F.xxhash64("doc_id", "text")
+    found = decontaminate(spark, docs.select(key.alias("doc_id"), "text"), items, length, k, block)
+    gone = scratch.cut(found.where("contaminated").select(F.col("doc_id").alias("_key")).distinct())
+    return docs.withColumn("_key", key).join(maybe_broadcast(gone, 24), "_key", "left_anti").drop("_key")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return rows.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

@@ -3,8 +3,9 @@
 A document is its set of distinct shingles; equal sets are one node, so copies meet before any join. Shingles have one
 global order: those that many documents hold come last, by how many, and the rest by hash. If two sets of sizes n and m
 share t shingles, then their first n - t + l and m - t + l ones share at least l. A document's l grows with the estimated
-number of candidates that its prefix brings in, and a pair is verified only if it shares min(l, l') shingles of the
-prefixes. Verification intersects the whole sets.
+number of candidates that its prefix brings in. Behind the prefixes a pair can share no more shingles than the longer of
+the two rests holds, so it is verified only if the prefixes share what its two sizes need beyond that: min(l, l') at least,
+and about a fifteenth of the set more if the sizes are equal. Verification intersects the whole sets.
 
 Groups of near copies would give the square of their size in pairs, while components need a spanning tree only. So some
 rounds first link every document to one pivot of its shingles' lists; what they connect needs no more pairs, and the full
@@ -176,6 +177,13 @@ class Join:
         x, y = F.shiftright(x, 4), F.shiftright(y, 4)
         return 100 * F.least(x, y) >= self.percent * F.greatest(x, y)
 
+    def needed(self, x: str, y: str):
+        """Shingles that two prefixes must share. One less counts too, lest two shingles of a document fell on one token."""
+        size = lambda c: F.shiftright(c, 4)
+        rest = lambda c: F.expr(f"({self.percent} * shiftright({c}, 4) + 99) div 100 - ({c} & 15)")
+        whole = F.ceil((size(x) + size(y)) * self.percent / (100 + self.percent) - 1e-6)
+        return F.greatest(F.lit(1), whole - F.greatest(rest(x), rest(y)) - 1)
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of nodes whose whole sets are similar enough."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -240,7 +248,7 @@ class Join:
         y = lists.select("often", "token", F.col("node").alias("b"), F.col("nl").alias("nl_b"), F.col("component").alias("c_b"))
         pairs = x.join(y, ["often", "token"]).where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & self.compatible("nl_a", "nl_b"))
         pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("nl_a").alias("nl_a"), F.first("nl_b").alias("nl_b"))
-        return pairs.where(F.col("c") >= F.least(F.col("nl_a").bitwiseAND(15), F.col("nl_b").bitwiseAND(15))).select("a", "b")
+        return pairs.where(F.col("c") >= self.needed("nl_a", "nl_b")).select("a", "b")
 
     def result(self) -> DataFrame:
         links = self.scratch.cut(self.links())
@@ -264,6 +272,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
     return Join(spark, docs, k, percent).result()
 
 
+def deduplicate(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of :func:`near_duplicates`, that of the smallest doc_id. Of rows that share a
+    doc_id one stays. Wordless texts and rows with a null doc_id all stay. All columns stay."""
+    scratch = Scratch(spark, "deduplicate")
+    found = near_duplicates(spark, docs, k, percent)
+    gone = scratch.cut(found.where("doc_id <> component_id").select("doc_id").distinct())
+    repeated = scratch.cut(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    left = docs.join(maybe_broadcast(gone, 24), "doc_id", "left_anti")
+    if not repeated.limit(1).count():
+        return left
+    again = left.join(maybe_broadcast(repeated, 24), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(maybe_broadcast(repeated, 24), "doc_id", "left_anti").unionByName(again)
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), k=4, percent=85)
 
