@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from lexalign.plans import alignment, progress, texts
+
+MODULES = (texts, alignment, progress)
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+SQL = {name: s for m in MODULES for name, s in m.SQL.items()}
