@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from lexalign.llm.words import BLANKS, chunks
 KINDS = ("email", "ip", "card", "phone")
 #: States: outside, then a word that begins a span of each kind, then one that goes on.
 STATES = 1 + 2 * len(KINDS)
-EXAMPLES, ROUNDS, RATE, PENALTY, SEED = 1200, 300, 0.1, 1e-3, 5
+EXAMPLES, ROUNDS, RATE, PENALTY, SEED = 1000, 150, 0.1, 1e-3, 5
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -191,18 +192,6 @@ def runs(words: list[str]) -> list[tuple[int, int]]:
     return out
 
 
-def _padded(sequences: list[list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all sequences as 0 and 1, and which places are in use."""
-    longest = max(map(len, sequences))
-    x = np.zeros((len(sequences), longest, N_FEATURES), np.float32)
-    used = np.zeros((len(sequences), longest), bool)
-    for i, sequence in enumerate(sequences):
-        for t, hold in enumerate(sequence):
-            x[i, t, hold] = 1
-        used[i, : len(sequence)] = True
-    return x, used
-
-
 #: A state that goes on must follow one of its kind; a run ends and begins outside.
 ALLOWED = np.ones((STATES, STATES), bool)
 for _k in range(1, len(KINDS) + 1):
@@ -263,48 +252,59 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
 
 
+@lru_cache(maxsize=1)
+def trained() -> Field:
+    """The field of the module's own examples."""
+    return fit()
+
+
 def fit(rows: list[tuple[list[str], list[int]]] | None = None, rounds: int = ROUNDS, rate: float = RATE, penalty: float = PENALTY) -> Field:
     """Maximum likelihood of the labelled runs, with a penalty on the squared weights, by Adam. The same on every machine."""
-    sequences, states = [], []
+    runs_: list[tuple[list[list[int]], list[int]]] = []
     for words, labels in rows or examples():
         for a, b in runs(words):
-            sequences.append([shape(words[i], words[i - 1] if i else None, words[i + 1] if i + 1 < len(words) else None) for i in range(a, b)])
-            states.append(labels[a:b])
-    x, used = _padded(sequences)
-    n, longest = used.shape
-    truth = np.zeros((n, longest), np.int64)
-    for i, s in enumerate(states):
-        truth[i, : len(s)] = s
-    sizes = used.sum(axis=1)
-    seen = np.eye(STATES)[truth] * used[..., None]
-    emit_seen = np.einsum("ntf,nts->fs", x, seen)
+            runs_.append(([shape(words[i], words[i - 1] if i else None, words[i + 1] if i + 1 < len(words) else None) for i in range(a, b)], labels[a:b]))
+    runs_.sort(key=lambda r: -len(r[0]))  # the runs that reach place t are then the first `live[t]`
+    sizes = np.array([len(r[0]) for r in runs_])
+    n, longest = len(runs_), int(sizes.max())
+    live = [int((sizes > t).sum()) for t in range(longest)]
+    x = [np.zeros((k, N_FEATURES)) for k in live]
+    truth = [np.array([r[1][t] for r in runs_[:k]]) for t, k in enumerate(live)]
+    for t, k in enumerate(live):
+        for i in range(k):
+            x[t][i, runs_[i][0][t]] = 1
+    emit_seen = sum(a.T @ np.eye(STATES)[b] for a, b in zip(x, truth, strict=True))
     step_seen = np.zeros((STATES, STATES))
-    for s in states:
+    for _, s in runs_:
         for a, b in zip([0, *s], [*s, 0], strict=True):
             step_seen[a, b] += 1
     emit, step = np.zeros((N_FEATURES, STATES)), np.zeros((STATES, STATES))
     moments = [np.zeros_like(emit), np.zeros_like(emit), np.zeros_like(step), np.zeros_like(step)]
     for turn in range(1, rounds + 1):
         moves = np.where(ALLOWED, step, FORBIDDEN)
-        score = x @ emit
-        ahead = np.zeros((n, longest, STATES))
-        ahead[:, 0] = score[:, 0] + moves[0]
+        score = [a @ emit for a in x]
+        ahead = [score[0] + moves[0]]
         for t in range(1, longest):
-            ahead[:, t] = np.where(used[:, t, None], _log_sum(ahead[:, t - 1, :, None] + moves[None], 1) + score[:, t], ahead[:, t - 1])
-        total = _log_sum(ahead[:, -1] + moves[:, 0], 1)
-        behind = np.zeros((n, longest, STATES))
-        behind[:, -1] = moves[:, 0]
-        for t in range(longest - 2, -1, -1):
-            on = _log_sum(moves[None] + (score[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
-            behind[:, t] = np.where(used[:, t + 1, None], on, moves[:, 0])
-        share = np.exp(ahead + behind - total[:, None, None]) * used[..., None]
-        emit_hoped = np.einsum("ntf,nts->fs", x, share)
+            ahead.append(_log_sum(ahead[-1][: live[t], :, None] + moves[None], 1) + score[t])
+        last = np.empty((n, STATES))
+        for t, k in enumerate(live):
+            last[:k] = ahead[t]
+        total = _log_sum(last + moves[:, 0], 1)
+        behind = [np.empty(0)] * longest
+        for t in range(longest - 1, -1, -1):
+            behind[t] = np.tile(moves[:, 0], (live[t], 1))
+            if t + 1 < longest:
+                k = live[t + 1]
+                behind[t][:k] = _log_sum(moves[None] + (score[t + 1] + behind[t + 1])[:, None, :], 2)
+        share = [np.exp(a + b - total[: len(a), None]) for a, b in zip(ahead, behind, strict=True)]
+        emit_hoped = sum(a.T @ b for a, b in zip(x, share, strict=True))
         step_hoped = np.zeros((STATES, STATES))
-        step_hoped[0] += share[:, 0].sum(axis=0)
-        step_hoped[:, 0] += share[np.arange(n), sizes - 1].sum(axis=0)
-        for t in range(1, longest):
-            pair = ahead[:, t - 1, :, None] + moves[None] + (score[:, t] + behind[:, t])[:, None, :] - total[:, None, None]
-            step_hoped += (np.exp(pair) * used[:, t, None, None]).sum(axis=0)
+        step_hoped[0] += share[0].sum(axis=0)
+        for t, k in enumerate(live):
+            ends = live[t + 1] if t + 1 < longest else 0
+            step_hoped[:, 0] += share[t][ends:k].sum(axis=0)
+            if t:
+                step_hoped += np.exp(ahead[t - 1][:k, :, None] + moves[None] + (score[t] + behind[t])[:, None, :] - total[:k, None, None]).sum(axis=0)
         for i, (weights, slope) in enumerate(((emit, (emit_seen - emit_hoped) / n - penalty * emit), (step, (step_seen - step_hoped) / n - penalty * step))):
             first, second = moments[2 * i], moments[2 * i + 1]
             first += 0.1 * (slope - first)
@@ -432,13 +432,13 @@ def find_pii(spark: SparkSession, docs: DataFrame) -> DataFrame:
     results. Other columns are ignored. An empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_find(fit()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return rows.mapInArrow(_find(trained()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, column: str = "text") -> DataFrame:
     """``docs`` with each span of ``column`` replaced by its kind, as in ``<EMAIL>``; where spans overlap, the first one's. A
     null text stays null. All columns stay."""
-    return docs.mapInArrow(_mask(fit(), column), docs.schema)
+    return docs.mapInArrow(_mask(trained(), column), docs.schema)
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexalign.llm.pii import KINDS, Field, emails, examples, find_pii, fit, luhn, mask_pii, patterns, runs, shape
+from lexalign.llm.pii import KINDS, Field, emails, examples, find_pii, luhn, mask_pii, patterns, runs, shape, trained
 
 FORMS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
@@ -43,7 +43,7 @@ def test_long_runs_take_linear_time():
 
 @pytest.fixture(scope="module")
 def field():
-    return fit()
+    return trained()
 
 
 def test_field_on_held_out_examples(field):
