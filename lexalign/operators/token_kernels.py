@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexalign.functions.text import NOTE_REFERENCES
 from lexalign.operators.kernels import source_edits
 from lexalign.schema import TOKEN
 
-_KIND = f"array<{TOKEN.simpleString()}>"
+_KIND = T.ArrayType(TOKEN)
 _CODE = re.compile(r"\\x\{([0-9a-f]+)\}")
 _FORMS = [re.compile(_CODE.sub(lambda m: chr(int(m[1], 16)), form)) for form in NOTE_REFERENCES]
 _HAN = re.compile("[㐀-䶿一-鿿豈-﫿]")
@@ -109,7 +110,7 @@ def two_lines(first: list[dict], second: list[dict], most: int = 54) -> tuple[li
     return first, second
 
 
-@F.udf(f"array<{_KIND}>", useArrow=True)
+@F.udf(T.ArrayType(_KIND), useArrow=True)
 def rebalance_lines(lines):
     if lines is None or len(lines) != 2:
         return None if lines is None else [[_dict(x) for x in line] for line in lines]

@@ -103,12 +103,12 @@ def event_counters(spark, sf_dir):
 
 @query("""
 WITH h AS (SELECT user_id, max(value) AS total, count(*) FILTER (WHERE event_type = 'purchase') AS accepted, count(*) FILTER (WHERE event_type = 'view') AS rejected, count(*) FILTER (WHERE event_type = 'error') AS failed, count(*) FILTER (WHERE event_type = 'click') AS claims, min(event_id) AS first_id, max(ts) AS latest FROM events GROUP BY user_id)
-SELECT user_id, CAST(accepted AS BIGINT) AS accepted, CAST(rejected AS BIGINT) AS rejected, CAST(failed AS BIGINT) AS failed, CAST(claims AS BIGINT) AS claims, first_id, CAST(epoch(latest) AS BIGINT) AS latest,
+SELECT user_id, CAST(accepted AS BIGINT) AS accepted, CAST(rejected AS BIGINT) AS rejected, CAST(failed AS BIGINT) AS failed, CAST(claims AS BIGINT) AS claims, first_id, strftime(latest, '%Y-%m-%d %H:%M:%S') AS latest,
   CASE WHEN total > 0 AND accepted >= total THEN 'complete' WHEN failed > 0 THEN 'needs_repair' WHEN claims = 0 THEN 'stopped' ELSE 'running' END AS state FROM h""")
 def health_snapshot(spark, sf_dir):
     states = F.when(F.col("event_type") == "purchase", "accepted").when(F.col("event_type") == "view", "rejected").when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "click", "claimed")
     rows = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("id"), states.alias("state"), "ts", F.col("value").alias("total"))
-    return P.health(rows, ["user_id"]).select("user_id", "accepted", "rejected", "failed", "claims", "first_id", F.floor(F.col("latest").cast("double")).alias("latest"), "state")
+    return P.health(rows, ["user_id"]).select("user_id", "accepted", "rejected", "failed", "claims", "first_id", F.date_format("latest", "yyyy-MM-dd HH:mm:ss").alias("latest"), "state")
 
 
 @query("""
@@ -119,7 +119,7 @@ SELECT user_id, CAST(island AS BIGINT) AS island, event_type, CAST(count(*) AS B
 def stall_islands(spark, sf_dir):
     from pyspark.sql import Window as W
 
-    rows = table(spark, sf_dir, "events").withColumn("ord", F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")))
+    rows = table(spark, sf_dir, "events").withColumn("ord", F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id"))).withColumn("ts", F.col("ts").cast("timestamp"))
     return P.stalls(rows, ["user_id"], ["event_type"], "ts").select("user_id", "island", "event_type", "n", F.round("seconds", 3).alias("seconds"))
 
 
@@ -133,12 +133,12 @@ def _daily(spark, sf_dir):
 
 @query("""
 WITH RECURSIVE d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS c FROM events GROUP BY 1, 2),
-x AS (SELECT event_type, row_number() OVER w AS ord, CAST(epoch(CAST(day AS TIMESTAMP)) AS DOUBLE) AS at, CAST(sum(c) OVER w AS BIGINT) AS reviewed, CASE WHEN row_number() OVER (PARTITION BY event_type ORDER BY day DESC) = 1 THEN 0 ELSE 1 END AS pending FROM d WINDOW w AS (PARTITION BY event_type ORDER BY day)),
+x AS (SELECT event_type, row_number() OVER w AS ord, CAST(epoch(CAST(day AS TIMESTAMP)) AS DOUBLE) AS moment, CAST(sum(c) OVER w AS BIGINT) AS reviewed, CASE WHEN row_number() OVER (PARTITION BY event_type ORDER BY day DESC) = 1 THEN 0 ELSE 1 END AS pending FROM d WINDOW w AS (PARTITION BY event_type ORDER BY day)),
 f AS (
-  SELECT event_type, ord, reviewed > 0 AS fires, CASE WHEN reviewed > 0 THEN reviewed ELSE 0 END AS done, CASE WHEN reviewed > 0 THEN at ELSE 0.0 END AS last FROM x WHERE ord = 1
+  SELECT event_type, ord, reviewed > 0 AS fires, CASE WHEN reviewed > 0 THEN reviewed ELSE 0 END AS done, CASE WHEN reviewed > 0 THEN moment ELSE 0.0 END AS last FROM x WHERE ord = 1
   UNION ALL
-  SELECT x.event_type, x.ord, go, CASE WHEN go THEN x.reviewed ELSE f.done END, CASE WHEN go THEN x.at ELSE f.last END
-  FROM f JOIN x ON x.event_type = f.event_type AND x.ord = f.ord + 1, LATERAL (SELECT x.reviewed > 0 AND x.reviewed - f.done > 0 AND (x.reviewed - f.done >= 50 OR x.pending = 0 OR f.last <= 0 OR x.at - f.last >= 864000) AS go))
+  SELECT x.event_type, x.ord, go, CASE WHEN go THEN x.reviewed ELSE f.done END, CASE WHEN go THEN x.moment ELSE f.last END
+  FROM f JOIN x ON x.event_type = f.event_type AND x.ord = f.ord + 1, LATERAL (SELECT x.reviewed > 0 AND x.reviewed - f.done > 0 AND (x.reviewed - f.done >= 50 OR x.pending = 0 OR f.last <= 0 OR x.moment - f.last >= 864000) AS go))
 SELECT event_type, ord, fires FROM f""")
 def compile_trigger(spark, sf_dir):
     return P.triggers(_daily(spark, sf_dir), ["event_type"], 50, 864_000)
@@ -185,6 +185,6 @@ def stream_stall(spark, sf_dir):
     """Spans of one event type for each user, from a stream of the events; tested against the batch form."""
     from lexalign.streaming.run import drained
 
-    path = f"{sf_dir}/events.parquet"
-    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")  # a pattern, as the table may be one file
     return drained(spark, S.stalls(events, "user_id", "event_type"), "append")

@@ -29,7 +29,7 @@ def stalls(events: DataFrame, key: str, marker: str, ts: str = "ts") -> DataFram
         state.update(now)
         yield pd.DataFrame(out, columns=["key", "marker", "since", "until", "n"])
 
-    rows = events.select(F.col(key).cast("string").alias("key"), F.col(marker).cast("string").alias("marker"), F.col(ts).alias("ts"))
+    rows = events.select(F.col(key).cast("string").alias("key"), F.col(marker).cast("string").alias("marker"), F.col(ts).cast("timestamp").alias("ts"))
     return rows.groupBy("key").applyInPandasWithState(run, f"key string, {STATE}", STATE, "append", "NoTimeout")
 
 
