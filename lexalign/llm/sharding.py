@@ -110,6 +110,6 @@ size AS (SELECT depth, h >> (60 - depth) AS prefix, sum(n_bytes) AS bytes FROM d
 leaf AS (
   SELECT h, doc_id, n_bytes, min(size.depth) AS depth FROM d, size
   WHERE h >> (60 - size.depth) = prefix AND bytes <= {limit} GROUP BY 1, 2, 3)
-SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(h >> (60 - depth)), depth, '0') END AS shard, CAST(depth AS INTEGER) AS depth, CAST(n_bytes AS BIGINT) AS n_bytes, false AS oversize
+SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(h >> (60 - depth)), CAST(depth AS INTEGER), '0') END AS shard, CAST(depth AS INTEGER) AS depth, CAST(n_bytes AS BIGINT) AS n_bytes, false AS oversize
 FROM leaf
 """

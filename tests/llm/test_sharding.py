@@ -1,9 +1,10 @@
 import hashlib
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
-from lexalign.llm.sharding import shard
+from lexalign.llm.sharding import op9_sharding, shard, sql
 
 
 def brute(rows, limit):
@@ -44,3 +45,9 @@ def test_every_shard_fits(spark, documents):
 def test_empty(spark, documents, empty):
     assert shard(spark, empty).collect() == []
     assert {r.shard for r in shard(spark, documents.withColumn("text", F.lit(None).cast("string"))).collect()} == {""}
+
+
+def test_sql(spark):
+    con = duckdb.connect()
+    con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    assert sorted(map(tuple, op9_sharding(spark, "/root/testdata/sf0.001").collect())) == sorted(con.sql(sql()).fetchall())
