@@ -45,20 +45,25 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     return rows.groupBy("license", "word").agg(F.count("*").cast("double").alias("tf"))
 
 
-def segments(docs: DataFrame) -> DataFrame:
-    """(row, path, n_words, segment, w): the lines of each text, numbered from 1, and the whole text as 0 if it has several."""
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    rows = docs.select("row", "path", F.size(words(F.col("text"))).alias("n_words"), F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.concat(F.array(F.lit("").cast("string")), lines)).alias("s"))
-    rows = rows.select("row", "path", "n_words", F.posexplode("s").alias("segment", "s"))
-    return rows.select("row", "path", "n_words", "segment", words(F.col("s")).alias("w")).where(F.size("w") > 0)
+def segments(docs: DataFrame, vocabulary: Column | None = None) -> DataFrame:
+    """(row, path, n_words, segment, w, others): the lines of each text, numbered from 1, and the whole text as 0 if it has
+    several; ``others`` counts the distinct words outside the vocabulary.
+
+    Texts are cut into words once, inside the generator's input, as a filter on a projected column would cut them again."""
+    lines = F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1), words)
+    others = (lambda w: F.size(F.array_except(w, vocabulary))) if vocabulary is not None else (lambda w: F.lit(0))
+    rows = docs.select("row", "path", lines.alias("lines"))
+    whole = F.flatten("lines")
+    every = F.concat(F.array(F.when(F.size("lines") > 1, whole).otherwise(F.array().cast("array<string>"))), F.col("lines"))
+    rows = rows.select("row", "path", F.size(whole).alias("n_words"), F.posexplode(F.transform(every, lambda w: F.struct(w.alias("w"), others(w).alias("others")))).alias("segment", "s"))
+    return rows.select("row", "path", "n_words", "segment", "s.w", "s.others").where(F.size("w") > 0)
 
 
 def matches(spark: SparkSession, docs: DataFrame, templates: dict[str, str], threshold: float, scratch: Scratch) -> DataFrame:
     """(row, segment, n_words, size, license, cosine): segments with their best template, if it reaches the threshold."""
     table = scratch.cut(template_table(spark, templates))
     vocabulary = F.array(*[F.lit(r.word) for r in table.select("word").distinct().orderBy("word").collect()])  # the parameter's words
-    rows = segments(docs)
-    counted = rows.select(F.explode(F.concat(F.array_intersect(F.col("w"), vocabulary), F.array(F.lit("")))).alias("word"))
+    counted = segments(docs).select(F.explode(F.concat(F.array_intersect(F.col("w"), vocabulary), F.array(F.lit("")))).alias("word"))
     counts = scratch.cut(counted.groupBy("word").agg(F.count("*").alias("df")))  # the empty word counts all segments
     total = counts.where("word = ''").agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]
     weight = lambda df: F.log((F.lit(1.0) + total) / (F.lit(1.0) + df)) + 1
@@ -66,11 +71,11 @@ def matches(spark: SparkSession, docs: DataFrame, templates: dict[str, str], thr
     table = table.join(counts, "word", "left").withColumn("idf", weight(F.coalesce("df", F.lit(0)))).select("license", "word", "tf", "idf")
     norms = table.groupBy("license").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"))
     table = scratch.cut(table.join(norms, "license"))
-    others = F.size(F.array_except(F.col("w"), vocabulary))
+    others = F.col("others")
     inside = F.size("w") - others
     # even with the largest weight, words of templates must outweigh the rest
     reach = (1 - threshold**2) * inside * inside >= threshold**2 * others
-    rows = rows.withColumn("others", others).where(reach & (inside > 0))
+    rows = segments(docs, vocabulary).where(reach & (inside > 0))
     known = table.groupBy("word").agg(F.first("idf").alias("idf"))
     terms = rows.select("row", "n_words", "segment", "others", F.size("w").alias("size"), F.explode("w").alias("word")).join(F.broadcast(known), "word")
     terms = terms.groupBy("row", "segment", "n_words", "size", "others", "word", "idf").agg(F.count("*").cast("double").alias("tf"))
