@@ -23,9 +23,11 @@ from lexalign.llm.words import U64, Parcels, chunks, ranges_hash
 FOLDS, HELD_OUT = 4, 2
 LONGEST = 4
 #: Entries of the model at most, words and n-grams of each length alike.
-ENTRIES = 1 << 17
+ENTRIES = 1 << 16
+#: Bytes of text worked on at once.
+CHUNK = 1 << 20
 #: Counts that wait in a task before they are sent.
-PENDING = 1 << 20
+PENDING = 1 << 18
 EDGE = 1
 
 _lower: list[np.ndarray] = []
@@ -106,7 +108,7 @@ def _count(parts: int):
     """Counts of words (kind 0) and n-grams (kind n) by language, in parcels by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parcels = Parcels(["i8", "u1", "u2", "u8"], parts)
+        parcels = Parcels(["i8", "u1", "u2", "u8"], parts, 4 << 20)
         waiting: list[tuple[np.ndarray, ...]] = []
 
         def sent(last: bool) -> Iterator[tuple[int, bytes]]:
@@ -124,7 +126,7 @@ def _count(parts: int):
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([data], pa.binary())], names=["part", "data"])
 
         for batch in batches:
-            for part, data, offsets in chunks(batch, "text"):
+            for part, data, offsets in chunks(batch, "text", CHUNK):
                 language = np.asarray(part.column("language"))
                 points, start, end, doc = letter_words(data, offsets)
                 if not len(start):
@@ -265,7 +267,7 @@ def train(spark: SparkSession, docs: DataFrame, scratch: Scratch, entries: int =
 def _predict(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in chunks(batch, "text"):
+            for part, data, offsets in chunks(batch, "text", CHUNK):
                 language, score = model.predict(data, offsets)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(language, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
