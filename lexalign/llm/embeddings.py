@@ -16,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexalign.llm.graph import components
-from lexalign.llm.storage import Scratch
+from lexalign.llm.graph import components, roots
+from lexalign.llm.storage import Scratch, partitions
 from lexalign.llm.words import ODD, U64, mix
 
 WIDTH, DIRECTIONS, TABLES = 2.0, 14, 42
@@ -81,39 +82,63 @@ def _hashed(tables: int, k: int, width: float):
     return run
 
 
-def _roots(linked: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric matrix the smallest row of its component."""
-    root = np.arange(len(linked))
-    while True:
-        low = np.where(linked, root[None, :], len(linked)).min(axis=1, initial=len(linked))
-        low = np.minimum(low, root)
-        low = low[low]
-        if (low == root).all():
-            return root
-        root = low
+_FOUND = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
+
+
+def _tasks(table: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
+    """Links of whole tasks, that follow each other: (node, links, other), ``links`` a weight to add and ``other`` a neighbour
+    in the tree of the task or null. Tasks of one size are compared together."""
+    columns = {c: np.asarray(table[c]) for c in ("table", "key", "i", "j", "node", "weight", "block")}
+    lengths = np.asarray(pa.compute.binary_length(table["unit"]))
+    new = np.ones(len(lengths), bool)
+    new[1:] = np.any([columns[c][1:] != columns[c][:-1] for c in ("table", "key", "i", "j")], axis=0) | (lengths[1:] != lengths[:-1])
+    start = np.flatnonzero(new)
+    size = np.diff(np.append(start, len(new)))
+    keys = np.frombuffer(b"".join(table["before"].to_pylist()), np.uint32).reshape(len(new), -1)
+    place = np.cumsum(lengths) - lengths
+    units = np.frombuffer(b"".join(table["unit"].to_pylist()), np.float64)
+    node, weight, side = columns["node"], columns["weight"], columns["block"]
+    links, other = np.zeros(len(new), np.int64), node.copy()
+    for n, length in {(int(a), int(b)) for a, b in zip(size, lengths[start], strict=True) if a > 1}:
+        mine = start[(size == n) & (lengths[start] == length)]
+        step = max(1, (32 << 20) // (n * max(length, 8 * n)))
+        for at in range(0, len(mine), step):
+            rows = mine[at : at + step, None] + np.arange(n)
+            x = units[(place[rows] // 8)[..., None] + np.arange(length // 8)]
+            linked = x @ x.transpose(0, 2, 1) >= least
+            cross = columns["i"][rows[:, 0]] != columns["j"][rows[:, 0]]
+            linked &= ~cross[:, None, None] | (side[rows][:, :, None] != side[rows][:, None, :])
+            linked[:, np.arange(n), np.arange(n)] = False
+            some = np.flatnonzero(linked.any(axis=(1, 2)))
+            for g in some.tolist():
+                sub = np.flatnonzero(linked[g].any(axis=1))
+                r, now = rows[g][sub], linked[g][np.ix_(sub, sub)]
+                for before in range(int(columns["table"][r[0]])):
+                    now &= keys[r, before][:, None] != keys[r, before][None, :]
+                links[r] += now @ weight[r]
+                other[r] = node[r][roots(now)]
+    out = np.flatnonzero(links)
+    tree = pa.array(other[out], pa.int64(), mask=other[out] == node[out])
+    yield pa.RecordBatch.from_arrays([pa.array(node[out], pa.int64()), pa.array(links[out], pa.int64()), tree], schema=_FOUND)
 
 
 def _compare(least: float):
-    """Links of one task: (node, links, other), ``links`` a weight to add, ``other`` a neighbour in the tree or null."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        t, i, j = (int(k.as_py()) for k in (key[0], key[2], key[3]))
-        table = table.sort_by("node")
-        node, weight, side = (np.asarray(table[c]) for c in ("node", "weight", "block"))
-        unit = np.stack([np.frombuffer(u.as_buffer(), np.float64) for u in table["unit"]])
-        keys = np.stack([np.frombuffer(u.as_buffer(), np.uint32) for u in table["before"]])
-        linked = unit @ unit.T >= least
-        if i != j:
-            linked &= side[:, None] != side[None, :]
-        np.fill_diagonal(linked, False)
-        rows = np.flatnonzero(linked.any(axis=1))
-        linked, node, weight, keys = linked[np.ix_(rows, rows)], node[rows], weight[rows], keys[rows]
-        for before in range(t):
-            linked &= keys[:, before][:, None] != keys[:, before][None, :]
-        links = linked @ weight
-        root = _roots(linked)
-        tree = pa.array(node[root], mask=root == np.arange(len(root)))
-        return pa.table({"node": pa.array(node, pa.int64()), "links": pa.array(links, pa.int64()), "other": tree.cast(pa.int64())})
+    """Runs :func:`_tasks` over sorted rows; the last task of a batch waits for the next one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = pa.Table.from_batches([*held, batch])
+            keys = [np.asarray(whole[c]) for c in ("table", "key", "i", "j")]
+            last = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            if cut:
+                yield from _tasks(whole.slice(0, cut), least)
+            held = whole.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield from _tasks(pa.Table.from_batches(held), least)
 
     return run
 
@@ -141,7 +166,9 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, least: float = 0.93, w
     short = F.transform("keys", lambda x: F.hex(F.shiftrightunsigned(x, 32)))
     before = F.unhex(F.array_join(F.transform(short, lambda x: F.lpad(x, 8, "0")), ""))
     members = members.join(hashed.select("node", "weight", "unit", before.alias("before")), "node")
-    found = scratch.cut(members.groupBy("table", "key", "i", "j").applyInArrow(_compare(least), "node long, links long, other long"))
+    task = ["table", "key", "i", "j"]
+    members = members.repartition(partitions(spark), *task).sortWithinPartitions(*task, "node")
+    found = scratch.cut(members.mapInArrow(_compare(least), "node long, links long, other long"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = components(spark, found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), scratch)
     known = nodes.select("node", "weight", "low").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))

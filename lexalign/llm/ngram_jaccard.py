@@ -8,8 +8,9 @@ the two rests holds, so it is verified only if the prefixes share what its two s
 and about a fifteenth of the set more if the sizes are equal. Verification intersects the whole sets.
 
 Groups of near copies would give the square of their size in pairs, while components need a spanning tree only. So some
-rounds first link every document to one pivot of its shingles' lists; what they connect needs no more pairs, and the full
-join then covers each pair of documents that share enough of a prefix and lie in different components.
+rounds first tie every document to one pivot of its shingles' lists, which gives clusters. Within a cluster all sets are
+compared with all, in blocks, where each set travels once for each block and only a tree of the links comes back. The full
+join then covers each pair of documents that share enough of their prefixes and lie in different clusters.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexalign.llm.graph import components
+from lexalign.llm.graph import components, roots
 from lexalign.llm.storage import Scratch, maybe_broadcast, partitions
 from lexalign.llm.words import BLANKS, ODD, U64, Parcels, chunks, cut_words, mix, shingle_sets
 
@@ -32,6 +33,8 @@ HOT_SHARE = 1e-3
 HOT_IN_CHUNK = 3
 MOST_MATCHES = 8
 STAR_ROUNDS = 3
+#: Documents of a block of a cluster.
+BLOCK = 512
 
 
 def _nodes(doc: np.ndarray, hashes: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,6 +153,100 @@ def _set_blobs(k: int):
     return run
 
 
+def _placed_sets(k: int):
+    """A row for each task of a document's set: (cluster, i, j, block, node, data)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in chunks(batch, "text"):
+                doc, hashes = shingle_sets(cut_words(data, offsets, BLANKS, True), k)
+                n, node = _nodes(doc, hashes, part.num_rows)
+                ends = np.cumsum(n)
+                raw = hashes.tobytes()
+                tasks = part.column("tasks")
+                count = np.asarray(tasks.value_lengths())
+                owner = np.repeat(np.arange(part.num_rows), count)
+                flat = tasks.flatten()
+                mine = np.asarray(flat.field("node")) == node[owner]  # another text of the same doc_id has another node
+                owner, flat = owner[mine], flat.filter(pa.array(mine))
+                blobs = [raw[8 * (ends[o] - n[o]) : 8 * ends[o]] for o in owner]
+                yield pa.RecordBatch.from_arrays([*(flat.field(c) for c in ("cluster", "i", "j", "block", "node")), pa.array(blobs, pa.binary())], names=["cluster", "i", "j", "block", "node", "data"])
+
+    return run
+
+
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets with all."""
+    if len(sets) == 2:
+        a, b = sets
+        at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+        both = int((a[at] == b).sum())
+        return np.array([[len(a), both], [both, len(b)]])
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, token, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = held > 1
+    shared = often[token]
+    owner, token = owner[shared], (np.cumsum(often) - 1)[token[shared]]
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    width = max(1, (32 << 20) // (4 * len(sets)))
+    total = int(often.sum())
+    for begin in range(0, total, width):
+        a, b = np.searchsorted(token, [begin, begin + width])
+        held_by = np.zeros((len(sets), min(width, total - begin)), np.float32)
+        held_by[owner[a:b], token[a:b] - begin] = 1
+        out += held_by @ held_by.T
+    return out.astype(np.int64)
+
+
+def _compare_tasks(percent: int):
+    """Trees of the links within each task, as (a, b). Rows come sorted by task; the last of a batch waits for the next."""
+
+    def tasks(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = [np.asarray(table[c]) for c in ("cluster", "i", "j")]
+        node, block = np.asarray(table["node"]), np.asarray(table["block"])
+        blobs = table["data"].combine_chunks()
+        new = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))
+        starts = np.flatnonzero(new)
+        a, b = [], []
+        for begin, end in zip(starts, np.append(starts[1:], len(new)), strict=True):
+            _, first = np.unique(node[begin:end], return_index=True)
+            rows = begin + first
+            if len(rows) < 2:
+                continue
+            sets = [np.frombuffer(blobs[int(r)].as_buffer(), U64) for r in rows]
+            size = np.array([len(x) for x in sets])
+            both = _overlaps(sets)
+            linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+            if keys[1][begin] != keys[2][begin]:
+                linked &= block[rows][:, None] != block[rows][None, :]
+            np.fill_diagonal(linked, False)
+            root = roots(linked)
+            tied = np.flatnonzero(root != np.arange(len(root)))
+            a.append(node[rows[root[tied]]])
+            b.append(node[rows[tied]])
+        join = lambda x: pa.array(np.concatenate(x) if x else [], pa.int64())
+        yield pa.RecordBatch.from_arrays([join(a), join(b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = pa.Table.from_batches([*held, batch])
+            keys = [np.asarray(whole[c]) for c in ("cluster", "i", "j")]
+            last = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            if cut:
+                yield from tasks(whole.slice(0, cut))
+            held = whole.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield from tasks(pa.Table.from_batches(held))
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,14 +285,30 @@ class Join:
         """Pairs (a, b) of nodes whose whole sets are similar enough."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         where = self.scratch.cut(nodes.join(self.holders, "node").select("doc_id").distinct())
-        sets = self.docs.join(maybe_broadcast(where, 24), "doc_id").select("text").mapInArrow(_set_blobs(self.k), "node long, data binary").dropDuplicates(["node"])
-        sets = self.scratch.cut(sets)
+        sets = self.scratch.cut(self.docs.join(maybe_broadcast(where, 24), "doc_id").select("text").mapInArrow(_set_blobs(self.k), "node long, data binary"))
         side = lambda name: sets.select(F.col("node").alias(name), F.col("data").alias(f"data_{name}"))
         out = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "data_a", "data_b").mapInArrow(_verify(self.percent), "a long, b long")
         out = self.scratch.cut(out)
         self.scratch.drop(where, sets)
         return out
 
+    def within(self, clusters: DataFrame) -> DataFrame:
+        """Trees of the links within each of ``clusters`` (node, component)."""
+        sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
+        members = clusters.join(sizes, "component").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+        members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        other = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.col("component").alias("cluster"), F.least("block", x).alias("i"), F.greatest("block", x).alias("j"), F.col("block"), F.col("node")))
+        plan = members.withColumn("tasks", other).join(self.holders, "node").groupBy("doc_id").agg(F.flatten(F.collect_list("tasks")).alias("tasks"))
+        plan = self.scratch.cut(plan)
+        size = plan.agg(F.coalesce(F.sum(F.size("tasks") * 48 + 24), F.lit(0))).first()[0]
+        docs = self.docs.join(maybe_broadcast(plan, -(-size // max(1, plan.count()))), "doc_id").select("text", "tasks")
+        rows = docs.mapInArrow(_placed_sets(self.k), "cluster long, i int, j int, block int, node long, data binary")
+        task = ["cluster", "i", "j"]
+        rows = rows.repartition(partitions(self.spark), *task).sortWithinPartitions(*task)
+        out = self.scratch.cut(rows.mapInArrow(_compare_tasks(self.percent), "a long, b long"))
+        self.scratch.drop(plan)
+        return out
+
     def links(self) -> DataFrame:
         """Links between nodes that connect what the whole graph of links connects."""
         spark, scratch = self.spark, self.scratch
@@ -215,7 +328,7 @@ class Join:
         often = shared.where("pivot IS NULL").select("token", "node", "nl").distinct()
         lists = cold.withColumn("often", F.lit(False)).unionByName(often.withColumn("often", F.lit(True)))
         lists = lists.withColumn("component", F.col("node"))
-        links, known = None, None
+        ties, known = None, None
         for turn in range(STAR_ROUNDS + 1):
             if known is not None:
                 lists = lists.drop("component").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -224,23 +337,25 @@ class Join:
             open_ = scratch.cut(per)
             lists = scratch.cut(lists.join(open_.select("often", "token"), ["often", "token"]))
             pairs, rows = open_.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2), F.lit(0)), F.coalesce(F.sum("all"), F.lit(0))).first()
-            if pairs <= 2 * rows or turn == STAR_ROUNDS:
+            if turn == STAR_ROUNDS or turn and pairs <= rows / 2:
                 break
-            found = self.verified(scratch.cut(self._star(lists, turn)))
-            links = found if links is None else scratch.cut(links.unionByName(found))
-            known = scratch.cut(components(spark, links, scratch))
-        found = self.verified(scratch.cut(self._all(lists)))
-        return found if links is None else links.unionByName(found)
+            found = scratch.cut(self._star(lists, turn))
+            ties = found if ties is None else scratch.cut(ties.unionByName(found))
+            known = scratch.cut(components(spark, ties, scratch))
+        inside = self.within(known)
+        return inside.unionByName(self.verified(scratch.cut(self._all(lists))))
 
     def _star(self, lists: DataFrame, turn: int) -> DataFrame:
-        """For each node the pivot that most of its lists share, if it lies in another component. Only a shortcut."""
+        """For each node the pivot that most of its lists share, if it lies in another cluster. Which clusters come out changes
+        the work and not the result."""
         by = F.xxhash64("node", F.lit(turn))
         pivots = lists.groupBy("often", "token").agg(F.min_by(F.struct("node", "nl", "component"), by).alias("pivot"))
         pairs = lists.join(pivots, ["often", "token"]).where((F.col("component") != F.col("pivot.component")) & self.compatible("nl", "pivot.nl"))
-        pairs = pairs.groupBy("node", F.col("pivot.node").alias("pivot")).agg(F.count("*").alias("c"), F.first("nl").alias("nl"))
-        best = pairs.groupBy("node").agg(F.max_by(F.struct("pivot", "c"), F.struct("c", "pivot")).alias("best"), F.first("nl").alias("nl"))
-        prefix = F.shiftright("nl", 4) * (100 - self.percent) / 100
-        return best.where(F.col("best.c") >= prefix * 0.25).select(F.col("best.pivot").alias("a"), F.col("node").alias("b"))
+        pairs = pairs.groupBy("node", F.col("pivot.node").alias("pivot")).agg(F.count("*").alias("c"), F.first("nl").alias("nl"), F.first("pivot.nl").alias("pivot_nl"))
+        best = pairs.groupBy("node").agg(F.max(F.struct("c", "pivot", F.col("pivot_nl").alias("nl"))).alias("best"), F.first("nl").alias("nl"))
+        best = best.select(F.col("best.pivot").alias("a"), F.col("node").alias("b"), "nl", F.col("best.nl").alias("nl_a"), F.col("best.c").alias("c"))
+        # half of what a link needs, as only the lists are counted whose pivot it is
+        return best.where(2 * F.col("c") >= self.needed("nl", "nl_a")).select("a", "b")
 
     def _all(self, lists: DataFrame) -> DataFrame:
         """All pairs of different components that share enough of their prefixes."""

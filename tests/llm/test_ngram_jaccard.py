@@ -34,7 +34,7 @@ def brute(rows, k, percent):
 
 def test_against_brute_force(spark, documents):
     rows = documents.collect()
-    for k, percent in ((4, 85), (5, 80), (2, 60)):
+    for k, percent in ((4, 85), (2, 60)):
         assert sorted(map(tuple, near_duplicates(spark, documents, k, percent).collect()), key=str) == brute(rows, k, percent)
 
 
@@ -69,7 +69,6 @@ def test_empty(spark, empty):
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(120)] + [(500, 500), (None, 3)]
-    got = dict(components(spark, spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test")).collect())
     root = {}
 
     def find(x):
@@ -81,4 +80,6 @@ def test_components(spark):
         if a is not None and a != b:
             x, y = sorted((find(a), find(b)))
             root[y] = x
-    assert got == {x: find(x) for x in list(root)}
+    for few in (10**6, 0):
+        got = dict(components(spark, spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test"), few).collect())
+        assert got == {x: find(x) for x in list(root)}
