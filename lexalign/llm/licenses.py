@@ -62,7 +62,8 @@ def segments(docs: DataFrame, vocabulary: Column | None = None) -> DataFrame:
 def matches(spark: SparkSession, docs: DataFrame, templates: dict[str, str], threshold: float, scratch: Scratch) -> DataFrame:
     """(row, segment, n_words, size, license, cosine): segments with their best template, if it reaches the threshold."""
     table = scratch.cut(template_table(spark, templates))
-    vocabulary = F.array(*[F.lit(r.word) for r in table.select("word").distinct().orderBy("word").collect()])  # the parameter's words
+    found = [r.word for r in table.select("word").distinct().orderBy("word").collect()]  # the parameter's words
+    vocabulary = F.split(F.lit(" ".join(found)), " ")  # one constant, where an array of literals would be planned one by one
     counted = segments(docs).select(F.explode(F.concat(F.array_intersect(F.col("w"), vocabulary), F.array(F.lit("")))).alias("word"))
     counts = scratch.cut(counted.groupBy("word").agg(F.count("*").alias("df")))  # the empty word counts all segments
     total = counts.where("word = ''").agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]
