@@ -1,9 +1,10 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory. DataFrame operations only.
 
-Each line of a text, and the text as a whole, is a segment. A segment's vector has the words of the templates, weighted by
-the inverse of how many segments of all documents hold them, and for each other distinct word the weight of one that no
-segment holds. A segment can reach the threshold only if the words outside the templates are few against the rest; this
-bound drops prose before any vector is made. What is left meets the templates by their words.
+Each line of a text, and the text as a whole, is a segment. A segment's vector has the words of the templates and each other
+distinct word once, all weighted by the inverse of how many segments of all documents hold them. A segment can reach the
+threshold only if the words outside the templates, were each as light as the most common of them, are few against the rest;
+this bound drops prose before any vector is made. What is left meets the templates by their words, and what is in reach then
+meets the counts of its other words.
 
 A document takes the template of its best segment. One whose segments of that kind make up enough of its words is a licence
 file and speaks for its directory: documents without a licence of their own take that of the nearest directory above them
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexalign.llm.decontamination import words
-from lexalign.llm.storage import Scratch
+from lexalign.llm.storage import Scratch, maybe_broadcast
 
 THRESHOLD = 0.6
 FILE_SHARE = 0.2
@@ -64,27 +65,37 @@ def matches(spark: SparkSession, docs: DataFrame, templates: dict[str, str], thr
     table = scratch.cut(template_table(spark, templates))
     found = [r.word for r in table.select("word").distinct().orderBy("word").collect()]  # the parameter's words
     vocabulary = F.split(F.lit(" ".join(found)), " ")  # one constant, where an array of literals would be planned one by one
-    counted = segments(docs).select(F.explode(F.concat(F.array_intersect(F.col("w"), vocabulary), F.array(F.lit("")))).alias("word"))
+    counted = segments(docs).select(F.explode(F.concat(F.array_distinct("w"), F.array(F.lit("")))).alias("word"))
     counts = scratch.cut(counted.groupBy("word").agg(F.count("*").alias("df")))  # the empty word counts all segments
     total = counts.where("word = ''").agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]
     weight = lambda df: F.log((F.lit(1.0) + total) / (F.lit(1.0) + df)) + 1
-    rare = weight(F.lit(0))
+    common = counts.where(F.col("word") != "").join(F.broadcast(table.select("word").distinct()), "word", "left_anti")
+    least = weight(F.lit(common.agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]))
     table = table.join(counts, "word", "left").withColumn("idf", weight(F.coalesce("df", F.lit(0)))).select("license", "word", "tf", "idf")
     norms = table.groupBy("license").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"))
     table = scratch.cut(table.join(norms, "license"))
+    most = F.lit(table.agg(F.coalesce(F.max("idf"), F.lit(0.0))).first()[0])
     others = F.col("others")
     inside = F.size("w") - others
-    # even with the largest weight, words of templates must outweigh the rest
-    reach = (1 - threshold**2) * inside * inside >= threshold**2 * others
+    # even with the largest weight, words of templates must outweigh the rest at the least
+    reach = (1 - threshold**2) * F.pow(inside * most, 2) >= threshold**2 * others * least * least * (1 - 1e-5)
     rows = segments(docs, vocabulary).where(reach & (inside > 0))
     known = table.groupBy("word").agg(F.first("idf").alias("idf"))
     terms = rows.select("row", "n_words", "segment", "others", F.size("w").alias("size"), F.explode("w").alias("word")).join(F.broadcast(known), "word")
     terms = terms.groupBy("row", "segment", "n_words", "size", "others", "word", "idf").agg(F.count("*").cast("double").alias("tf"))
     square = F.sum(F.pow(F.col("tf") * F.col("idf"), 2))
-    lengths = terms.groupBy("row", "segment").agg(F.sqrt(square + F.first("others") * rare * rare).alias("length"))
+    lengths = terms.groupBy("row", "segment").agg(square.alias("square"))
     dots = terms.join(F.broadcast(table.select("word", "license", F.col("tf").alias("of"), "norm")), "word")
-    dots = dots.groupBy("row", "segment", "n_words", "size", "license", "norm").agg(F.sum(F.col("tf") * F.col("of") * F.col("idf") * F.col("idf")).alias("dot"))
-    found = dots.join(lengths, ["row", "segment"]).withColumn("cosine", F.round(F.col("dot") / (F.col("norm") * F.col("length")), 6)).where(F.col("cosine") >= threshold)
+    dots = dots.groupBy("row", "segment", "n_words", "size", "others", "license", "norm").agg(F.sum(F.col("tf") * F.col("of") * F.col("idf") * F.col("idf")).alias("dot"))
+    cosine = lambda rest: F.col("dot") / (F.col("norm") * F.sqrt(F.col("square") + rest))
+    near = scratch.cut(dots.join(lengths, ["row", "segment"]).where(cosine(others * least * least) >= threshold - 1e-5))
+    # the other words of what is still in reach, with the weights they have
+    some = scratch.cut(near.where("others > 0").select("row", "segment").distinct())
+    rest = segments(docs, vocabulary).join(maybe_broadcast(some, 24), ["row", "segment"])
+    rest = scratch.cut(rest.select("row", "segment", F.explode(F.array_except("w", vocabulary)).alias("word")))
+    weights = scratch.cut(counts.join(rest.select("word").distinct(), "word").select("word", weight(F.col("df")).alias("idf")))
+    rest = rest.join(maybe_broadcast(weights, 64), "word").groupBy("row", "segment").agg(F.sum(F.pow("idf", F.lit(2))).alias("rest"))
+    found = near.join(rest, ["row", "segment"], "left").withColumn("cosine", F.round(cosine(F.coalesce("rest", F.lit(0.0))), 6)).where(F.col("cosine") >= threshold)
     first = F.struct((-F.col("cosine")).alias("c"), F.col("license"))
     best = found.groupBy("row", "segment", "n_words", "size").agg(F.min(first).alias("best"))
     return best.select("row", "segment", "n_words", "size", "best.license", (-F.col("best.c")).alias("cosine"))

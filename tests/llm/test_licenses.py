@@ -1,3 +1,5 @@
+import math
+
 import duckdb
 import pytest
 
@@ -40,3 +42,14 @@ def test_against_sql(spark, sf):
 
 def test_empty(spark, empty):
     assert scan(spark, empty.withColumnRenamed("source", "path")).collect() == []
+
+
+def test_common_words_weigh_little(spark):
+    rows = ["and en prose"] * 400 + [TEMPLATES["MIT"]] * 100 + ["and en " + TEMPLATES["MIT"], "quite odd " + TEMPLATES["MIT"]]
+    docs = spark.createDataFrame([(i, f"d{i}/f", t) for i, t in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r.doc_id: r for r in scan(spark, docs).collect()}
+    total, df = len(rows), {"and": 401, "en": 401, "mit": 102}
+    idf = {w: math.log((1 + total) / (1 + n)) + 1 for w, n in df.items()}
+    inside = 5 * idf["mit"] ** 2
+    assert got[500].own_license == "MIT" and math.isclose(got[500].cosine, math.sqrt(inside / (inside + idf["and"] ** 2 + idf["en"] ** 2)), abs_tol=1e-6)
+    assert got[501].own_license is None and got[0].own_license is None and got[400].cosine == 1.0
