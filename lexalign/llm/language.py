@@ -2,8 +2,9 @@
 
 Known words are scored by their log frequency in each language. An unseen word is read from left to right by the longest
 known n-gram at each place, from four characters down to one. Words and n-grams are counted over all learning documents:
-each task adds up its own counts and sends them by hash, and each partition adds up its share. The model keeps the words
-and n-grams with the highest counts, up to a fixed number of entries, so that what is broadcast does not grow with the data.
+each task adds up its own counts and sends them by hash, and each partition adds up its share. All counts stay in a written
+table. The most frequent words, up to a fixed number, are broadcast; the other words of a document meet the table by hash,
+counted by document, and each distinct one of them that the table lacks is read by n-grams from the table once.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from lexalign.llm.words import U64, Parcels, chunks, ranges_hash
 
 FOLDS, HELD_OUT = 4, 2
 LONGEST = 4
-#: Entries of the model at most, words and n-grams of each length alike.
+#: Words that are broadcast at most; the others are looked up in the table.
 ENTRIES = 1 << 16
 #: Bytes of text worked on at once.
 CHUNK = 1 << 20
@@ -180,118 +181,133 @@ def _sum_parcels(n_languages: int):
 
 
 class Model:
-    """Log frequencies by language: of words, and of n-grams of each length."""
+    """Log frequencies of frequent words by language."""
 
-    def __init__(self, languages: list[str], rows: pa.Table, totals: np.ndarray):
-        self.languages, self.keys, self.logs = languages, [], []
-        kinds, keys = np.asarray(rows["kind"]), np.asarray(rows["key"]).view(U64)
+    def __init__(self, languages: list[str], rows: pa.Table, below: np.ndarray):
+        self.languages = languages
+        keys = np.asarray(rows["key"]).view(U64)
         counts = np.asarray(rows["counts"].combine_chunks().flatten()).reshape(len(keys), len(languages))
-        for kind in range(LONGEST + 1):
-            mine = np.flatnonzero(kinds == kind)
-            mine = mine[np.argsort(keys[mine])]
-            self.keys.append(keys[mine])
-            self.logs.append(np.log((counts[mine] + 0.1) / (totals[kind] + 0.1 * (len(mine) + 1))).astype(np.float32))
-
-    def find(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        """Place of each key in the table of its kind, -1 where it has none."""
-        table = self.keys[kind]
-        if not len(table):
+        order = np.argsort(keys)
+        self.keys, self.logs = keys[order], np.log((counts[order] + 0.1) / below)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key in the table, -1 where it has none."""
+        if not len(self.keys):
             return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        return np.where(table[at] == keys, at, -1)
-
-    def words(self, points: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """Scores of words by language."""
-        out = np.zeros((len(keys), len(self.languages)))
-        at = self.find(0, keys)
-        out[at >= 0] = self.logs[0][at[at >= 0]]
-        unseen = np.flatnonzero(at < 0)
-        if len(unseen):
-            grams, word = n_grams(points, start[unseen], end[unseen])
-            open_, used = np.ones(len(word), bool), np.zeros(len(unseen))
-            for n in range(LONGEST, 0, -1):
-                places = np.flatnonzero(open_ & (grams[n - 1] > 0))
-                at = self.find(n, grams[n - 1][places])
-                hit = places[at >= 0]
-                open_[hit] = False
-                for i in range(len(self.languages)):
-                    out[unseen, i] += np.bincount(word[hit], self.logs[n][at[at >= 0], i], minlength=len(unseen))
-                used += np.bincount(word[hit], minlength=len(unseen))
-            out[unseen] *= (2 / np.maximum(used, 2))[:, None]  # places overlap: a word weighs as two of them
-        return out
-
-    def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def read(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[dict]]]:
+        """By document: sums of scores of the words here, whether it has words, and its other words with their counts."""
         points, start, end, doc = letter_words(data, offsets)
         n, k = len(offsets) - 1, len(self.languages)
-        sums = np.zeros((n, k))
-        if len(start) and k:
+        sums, rest = np.zeros((n, k)), [[] for _ in range(n)]
+        if len(start):
             keys, first, inverse = np.unique(word_keys(points, start, end), return_index=True, return_inverse=True)
-            scores = self.words(points, start[first], end[first], keys)
+            at = self.find(keys)[inverse]
             for i in range(k):
-                sums[:, i] = np.bincount(doc, scores[inverse, i], minlength=n)
-        some = np.bincount(doc, minlength=n) > 0
-        if not k:
-            return ["und"] * n, np.zeros(n)
-        odds = np.exp(sums - sums.max(axis=1, keepdims=True))
-        best = odds.argmax(axis=1)
-        score = np.where(some, 1 / odds.sum(axis=1), 0.0)
-        return [self.languages[b] if s else "und" for b, s in zip(best.tolist(), some.tolist(), strict=True)], score
-
-
-def train(spark: SparkSession, docs: DataFrame, scratch: Scratch, entries: int = ENTRIES) -> Model:
-    """Model of the texts of ``docs`` (text, lang); rows without either teach nothing."""
+                sums[:, i] = np.bincount(doc[at >= 0], self.logs[at[at >= 0], i], minlength=n)
+            pair, count = np.unique(np.stack([doc[at < 0], inverse[at < 0]]), axis=1, return_counts=True)
+            for d, w, c in zip(*pair.tolist(), count.tolist(), strict=True):
+                word = points[start[first[w]] : end[first[w]]].astype("<u4").tobytes().decode("utf-32-le")
+                rest[d].append({"key": int(keys[w].view(np.int64)), "n": c, "word": word})
+        return sums, np.bincount(doc, minlength=n) > 0, rest
+
+
+def train(spark: SparkSession, docs: DataFrame, scratch: Scratch, entries: int = ENTRIES) -> tuple[Model, DataFrame | None, np.ndarray]:
+    """Model of the texts of ``docs`` (text, lang); rows without either teach nothing. And the table of all counts, and by kind
+    and language what a count is divided by."""
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     languages = sorted(r.lang for r in docs.select("lang").distinct().collect())  # one row for each language
+    below = np.full((LONGEST + 1, len(languages)), 0.1)
     if not languages:
-        return Model([], pa.table({"kind": pa.array([], pa.int32()), "key": pa.array([], pa.int64()), "counts": pa.array([], pa.list_(pa.int64()))}), np.zeros((LONGEST + 1, 0)))
+        return Model([], pa.table({"key": pa.array([], pa.int64()), "counts": pa.array([], pa.list_(pa.int64()))}), below[0]), None, below
     parts = partitions(spark)
     place = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")) - 1
     counted = docs.select("text", place.cast("int").alias("language")).mapInArrow(_count(parts), "part int, data binary")
     counts = scratch.cut(counted.repartition(parts, "part").mapInArrow(_sum_parcels(len(languages)), "kind int, key long, total long, counts array<long>"))
-    by = counts.groupBy("kind").agg(*[F.sum(F.col("counts")[i]).alias(str(i)) for i in range(len(languages))]).collect()
-    totals = np.zeros((LONGEST + 1, len(languages)))
+    by = counts.groupBy("kind").agg(F.count("*").alias("size"), *[F.sum(F.col("counts")[i]).alias(str(i)) for i in range(len(languages))]).collect()
     for r in by:
-        totals[r.kind] = r[1:]
-    # how many entries there are of each count and kind tells the least count to keep; counts are binned by halves of a power
-    step = F.floor(F.log2("total") * 2)
-    most, least = {}, {}
-    for r in counts.groupBy("kind", step.alias("step")).agg(F.count("*").alias("n")).orderBy("kind", F.desc("step")).collect():
-        most[r.kind] = most.get(r.kind, 0) + r.n
-        if most[r.kind] <= entries:
-            least[r.kind] = r.step
-    known = F.create_map(*[F.lit(x) for pair in least.items() for x in pair]) if least else None
-    rows = counts.where(step >= known[F.col("kind")]) if least else counts.limit(0)
-    return Model(languages, rows.select("kind", "key", "counts").toArrow(), totals)
-
-
-def _predict(model: Model):
+        below[r.kind] = np.array(r[2:]) + 0.1 * (r["size"] + 1)
+    # how many words there are of each count tells the least count to broadcast; counts are binned by halves of a power
+    step, words = F.floor(F.log2("total") * 2), counts.where("kind = 0")
+    most, least = 0, None
+    for r in words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
+        most += r.n
+        if most <= entries:
+            least = r.step
+    rows = words.where(step >= least) if least is not None else words.limit(0)
+    return Model(languages, rows.select("key", "counts").toArrow(), below[0]), counts, below
+
+
+def _read(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest_type = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64()), ("word", pa.string())]))
         for batch in batches:
             for part, data, offsets in chunks(batch, "text", CHUNK):
-                language, score = model.predict(data, offsets)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(language, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+                sums, some, rest = shared.value.read(data, offsets)
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(list(sums), pa.list_(pa.float64())), pa.array(some), pa.array(rest, rest_type)], names=["row", "doc_id", "held_out", "sums", "some", "rest"])
 
     return run
 
 
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, at, kind, key): the n-grams at each place of a word."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 20_000):
+            part = batch.slice(begin, 20_000)
+            texts = part.column("word").to_pylist()
+            points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+            end = np.cumsum([len(t) for t in texts])
+            start = end - np.array([len(t) for t in texts])
+            grams, word = n_grams(points, start, end)
+            owner = np.asarray(part.column("key"))
+            for n, hashes in enumerate(grams, 1):
+                at = np.flatnonzero(hashes > 0)
+                yield pa.RecordBatch.from_arrays([pa.array(owner[word[at]]), pa.array(at), pa.array(np.full(len(at), n, np.int32)), pa.array(hashes[at].view(np.int64))], names=["word", "at", "kind", "key"])
+
+
+def _rest_scores(rest: DataFrame, counts: DataFrame, below: np.ndarray, scratch: Scratch) -> DataFrame:
+    """(key, s0, s1, ...): scores by language of the words (key, word) outside the broadcast model."""
+    k = below.shape[1]
+    log = lambda kind, i: F.log((F.col("counts")[i] + 0.1) / F.element_at(F.array(*[F.lit(float(x)) for x in below[:, i]]), kind + 1))
+    words = counts.where("kind = 0").select("key", "counts")
+    met = scratch.cut(rest.join(words, "key", "left"))
+    known = met.where("counts IS NOT NULL").select("key", *[log(F.lit(0), i).alias(f"s{i}") for i in range(k)])
+    places = met.where("counts IS NULL").select("key", "word").mapInArrow(_places, "word long, at long, kind int, key long")
+    hits = places.join(counts.where("kind > 0").select("kind", "key", "counts"), ["kind", "key"])
+    longest = hits.groupBy("word", "at").agg(F.max(F.struct("kind", "counts")).alias("x")).select("word", "x.kind", "x.counts")
+    scale = F.lit(2) / F.greatest(F.count("*"), F.lit(2))  # places overlap: a word weighs as two of them
+    unseen = longest.groupBy("word").agg(*[(F.sum(log(F.col("kind"), i)) * scale).alias(f"s{i}") for i in range(k)])
+    return known.unionByName(unseen.withColumnRenamed("word", "key"))
+
+
 def identify(spark: SparkSession, docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): a row for each row of ``docs``.
 
     Learns from texts and non-null ``lang`` of rows whose crc32(doc_id as text) mod 4 is not 2. A text without letters, empty
     or null is ``und`` with score 0, as is every text if there is nothing to learn from. A null doc_id counts as held out.
     Ties go to the language that sorts first. Repeated rows teach each time and get equal results. Other columns are ignored.
-    An empty table gives an empty result.
+    An empty table gives an empty result. ``entries`` is how many words are broadcast and changes no result.
     """
     scratch = Scratch(spark, "language")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(True)))
-    model = train(spark, rows.where("NOT held_out"), scratch, entries)
-    shared = spark.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _predict(shared.value)(batches)
-
-    return rows.select("doc_id", "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    model, counts, below = train(spark, rows.where("NOT held_out"), scratch, entries)
+    k = len(model.languages)
+    if not k:
+        return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    read = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
+    read = scratch.cut(read.mapInArrow(_read(spark.sparkContext.broadcast(model)), "row long, doc_id long, held_out boolean, sums array<double>, some boolean, rest array<struct<key:long,n:long,word:string>>"))
+    rest = read.select("row", F.explode("rest").alias("x")).select("row", "x.key", "x.n", "x.word")
+    scores = scratch.cut(_rest_scores(rest.groupBy("key").agg(F.min("word").alias("word")), counts, below, scratch))
+    more = rest.drop("word").join(scores, "key").groupBy("row").agg(F.array(*[F.sum(F.col("n") * F.col(f"s{i}")) for i in range(k)]).alias("more"))
+    out = read.drop("rest").join(more, "row", "left")
+    out = out.withColumn("sums", F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda a, b: a + b)))
+    top = F.array_max("sums")
+    best = F.element_at(F.array(*[F.lit(x) for x in model.languages]), F.array_position("sums", top).cast("int"))
+    odds = F.aggregate("sums", F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+    return out.select("doc_id", "held_out", F.when(F.col("some"), best).otherwise("und").alias("lang_pred"), F.when(F.col("some"), 1 / odds).otherwise(0.0).alias("score"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,3 +44,12 @@ def test_n_grams_of_padded_words():
 def test_model_is_bounded_and_still_right(spark):
     rows = identify(spark, spark.read.parquet(f"{SF}/documents.parquet"), entries=500).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     assert np.mean([r.lang_pred == r.lang for r in rows]) > 0.95
+
+
+def test_no_learned_word_is_lost(spark):
+    rows = [(i, f"common words here {'rareword' if i % 2 else ''}", "en") for i in range(60)] + [(i, "common words here", "es") for i in range(60, 120)]
+    rows += [(i, "seldom", "es") for i in (120, 121, 123, 125)] + [(1000, "seldom", None), (1001, "seldom rarewords", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few, many = ({r.doc_id: r for r in identify(spark, docs, entries=n).collect()} for n in (1, 1 << 16))
+    assert few[1000].lang_pred == "es" and few.keys() == many.keys()
+    assert all(few[i].lang_pred == many[i].lang_pred and abs(few[i].score - many[i].score) < 1e-9 for i in few)
