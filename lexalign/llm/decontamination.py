@@ -124,12 +124,16 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, length
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, items: DataFrame, length: int = WINDOW, k: int = SHINGLE, block: int = BLOCK) -> DataFrame:
-    """``docs`` without the rows that :func:`decontaminate` finds contaminated. All columns stay."""
+    """``docs`` without the rows that :func:`decontaminate` finds contaminated. Rows are told apart by doc_id and text; null
+    and wordless texts stay. An empty table gives an empty result. All columns stay, whatever their names."""
     scratch = Scratch(spark, "clean")
     key = F.xxhash64("doc_id", "text")
     found = decontaminate(spark, docs.select(key.alias("doc_id"), "text"), items, length, k, block)
-    gone = scratch.cut(found.where("contaminated").select(F.col("doc_id").alias("_key")).distinct())
-    return docs.withColumn("_key", key).join(maybe_broadcast(gone, 24), "_key", "left_anti").drop("_key")
+    name = "key"
+    while name in docs.columns:
+        name = f"_{name}"
+    gone = scratch.cut(found.where("contaminated").select(F.col("doc_id").alias(name)).distinct())
+    return docs.withColumn(name, key).join(maybe_broadcast(gone, 24), name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

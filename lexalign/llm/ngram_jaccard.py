@@ -388,17 +388,41 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group of :func:`near_duplicates`, that of the smallest doc_id. Of rows that share a
-    doc_id one stays. Wordless texts and rows with a null doc_id all stay. All columns stay."""
+    """``docs`` with one row of each group of :func:`near_duplicates`, that of the smallest doc_id (null is largest).
+
+    Rows are told apart by doc_id and text, so rows that share a doc_id only stay. Of rows equal in both one stays, chosen by
+    a hash of all columns. Null and wordless texts all stay. An empty table gives an empty result. All columns stay, whatever
+    their names.
+    """
     scratch = Scratch(spark, "deduplicate")
-    found = near_duplicates(spark, docs, k, percent)
-    gone = scratch.cut(found.where("doc_id <> component_id").select("doc_id").distinct())
-    repeated = scratch.cut(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    left = docs.join(maybe_broadcast(gone, 24), "doc_id", "left_anti")
+    key = F.xxhash64("doc_id", "text")
+    found = scratch.cut(near_duplicates(spark, docs.select(key.alias("doc_id"), "text"), k, percent).where("n_shingles > 0"))
+    member, group = F.col("doc_id").alias("key"), F.col("component_id").alias("group")
+    linked = found.where("doc_id <> component_id")
+    linked = scratch.cut(linked.select(member, group).unionByName(linked.select(F.col("component_id").alias("key"), group)).distinct())
+    named = docs.select(key.alias("key"), "doc_id").join(maybe_broadcast(linked, 24), "key")
+    stays = named.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")).select(F.col("first.key").alias("key"))
+    gone = scratch.cut(linked.join(stays, "key", "left_anti").select("key"))
+    repeated = scratch.cut(found.groupBy(member).agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    name = _free("key", docs.columns)
+    left = docs.withColumn(name, key).join(maybe_broadcast(gone, 16).withColumnRenamed("key", name), name, "left_anti")
     if not repeated.limit(1).count():
-        return left
-    again = left.join(maybe_broadcast(repeated, 24), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(maybe_broadcast(repeated, 24), "doc_id", "left_anti").unionByName(again)
+        return left.select(*_quoted(docs))
+    repeated = maybe_broadcast(repeated, 16).withColumnRenamed("key", name)
+    whole = F.struct(*_quoted(docs))
+    again = left.join(repeated, name, "left_semi").groupBy(name).agg(F.min_by(whole, F.xxhash64(whole)).alias("row")).select("row.*")
+    return left.join(repeated, name, "left_anti").select(*_quoted(docs)).unionByName(again)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """``name`` with as many underscores before it as make it new."""
+    while name.lower() in (x.lower() for x in taken):
+        name = f"_{name}"
+    return name
+
+
+def _quoted(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,16 @@
 """Packing documents into windows of equal length, by Karmarkar-Karp multiway differencing.
 
-A document's ids are cut at multiples of the capacity; each full piece is a window of its own. The rests are dealt into
-groups of a fixed number of documents, and each group is packed alone: every rest begins as a partition into k windows of
-which one is filled, and the two partitions of the largest imbalance are merged, the fullest windows of one with the
-emptiest of the other, until one is left. Its windows are near equal. What exceeds the capacity is cut off and goes to the
-windows with room left; where cutting is not allowed, the number of windows rises until all of them hold.
+A document's ids are cut at multiples of the capacity; each full piece is a window of its own. The rests are cut into even
+pieces of at most a quarter of the capacity and dealt into groups of a fixed number of documents, and each group is packed
+alone: every piece begins as a partition into k windows of which one is filled, and the two partitions of the largest
+imbalance are merged, the fullest windows of one with the emptiest of the other, until one is left. Its windows are near
+equal. While one of them exceeds the capacity, the number of windows rises; with pieces this small that costs less than a
+hundredth of them.
 """
 
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from lexalign.llm.storage import Scratch
 from lexalign.llm.tokens import encoder
-from lexalign.llm.words import chunks
+from lexalign.llm.words import SMALL_CHUNK, chunks
 
 CAPACITY = 1024
 END = 0
-#: Documents packed together. A group leaves less than one window empty in all.
-GROUP = 2048
+#: Documents packed together, and pieces that make a window at least.
+GROUP, SHARE = 1024, 4
 
 
 def differencing(sizes: np.ndarray, k: int) -> list[list[int]]:
@@ -67,87 +67,57 @@ def differencing(sizes: np.ndarray, k: int) -> list[list[int]]:
     return out
 
 
-def pack(sizes: np.ndarray, capacity: int, cut: bool = True) -> list[list[tuple[int, int, int]]]:
-    """Windows of pieces (item, start, length). Sizes are positive; without ``cut`` at most ``capacity``."""
+def pieces(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Item, start and length of even pieces of at most ``most``, that make up the items."""
+    count = -(-sizes // most)
+    item = np.repeat(np.arange(len(sizes)), count)
+    nth = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+    start = sizes[item] * nth // count[item]
+    return item, start, sizes[item] * (nth + 1) // count[item] - start
+
+
+def pack(sizes: np.ndarray, capacity: int, most: int | None = None) -> list[list[tuple[int, int, int]]]:
+    """Windows of pieces (item, start, length) of at most ``most``, by default uncut. Sizes are positive and, where they are
+    not cut, at most the capacity."""
     sizes = np.asarray(sizes, np.int64)
     if not len(sizes):
         return []
-    k = int(-(-sizes.sum() // capacity))
-    windows = differencing(sizes, k)
-    if not cut:
-        while max(int(sizes[w].sum()) for w in windows) > capacity:
-            k += 1
-            windows = differencing(sizes, k)
-        return [[(i, 0, int(sizes[i])) for i in w] for w in windows]
-    filled, spare = [], []
-    for window in windows:
-        pieces, used = [], 0
-        for i in sorted(window, key=lambda i: (-sizes[i], i)):
-            size = int(sizes[i])
-            fits = min(size, capacity - used)
-            if fits:
-                pieces.append((i, 0, fits))
-            if fits < size:
-                spare.append((i, fits, size - fits))
-            used += fits
-        filled.append((pieces, used))
-    for at in range(k):
-        pieces, used = filled[at] if at < len(filled) else ([], 0)
-        while spare and used < capacity:
-            i, start, size = spare.pop()
-            fits = min(size, capacity - used)
-            pieces.append((i, start, fits))
-            used += fits
-            if fits < size:
-                spare.append((i, start + fits, size - fits))
-        if at >= len(filled):
-            filled.append((pieces, used))
-    return [pieces for pieces, _ in filled if pieces]
-
-
-_ENCODED = "doc_id long, doc_tokens long, crcs array<long>, rest binary, full binary"
-
-
-def _encode(capacity: int, path: str | None, keep_ids: bool):
+    item, start, length = pieces(sizes, most or capacity)
+    k, step = int(-(-length.sum() // capacity)), 1
+    windows = differencing(length, k)
+    while max(int(length[w].sum()) for w in windows) > capacity:
+        k, step = k + step, 2 * step
+        windows = differencing(length, k)
+    return [sorted((int(item[i]), int(start[i]), int(length[i])) for i in w) for w in windows if w]
+
+
+def _encode(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path)
         for batch in batches:
-            for part, data, offsets in chunks(batch, "text"):
+            for part, data, offsets in chunks(batch, "text", SMALL_CHUNK):
                 ids, at = made.encode(data, offsets)
-                total, crcs, rests, fulls = [], [], [], []
-                for begin, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                    mine = np.append(ids[begin:end], END).astype("<u4")
-                    whole = len(mine) // capacity * capacity
-                    total.append(len(mine))
-                    crcs.append([zlib.crc32(mine[i : i + capacity]) for i in range(0, whole, capacity)])
-                    rests.append(mine[whole:].tobytes())
-                    fulls.append(mine[:whole].tobytes() if keep_ids else None)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(total, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(rests, pa.binary()), pa.array(fulls, pa.binary())], names=["doc_id", "doc_tokens", "crcs", "rest", "full"])
+                every = [np.append(ids[begin:end], END).astype("<u4").tobytes() for begin, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(at) + 1, pa.int64()), pa.array(every, pa.binary())], names=["doc_id", "doc_tokens", "ids"])
 
     return run
 
 
-_PIECES = pa.schema([(name, pa.int64()) for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
+_PIECES = pa.schema([(name, pa.int64()) for name in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
 
 
-def _pack_group(capacity: int, keep_ids: bool):
+def _pack_group(capacity: int, most: int):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"], r["doc_tokens"], r["rest"]) if r["doc_id"] is not None else (True, 0, r["doc_tokens"], r["rest"]))
+        rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["doc_tokens"], r["rest"]))
         out: list[tuple] = []
         sequence = rows[0]["group"] << 32
-        for r in rows:
-            for i, crc in enumerate(r["crcs"]):
-                ids = r["full"][4 * i * capacity : 4 * (i + 1) * capacity] if keep_ids else None
-                out.append((r["doc_id"], i * capacity, capacity, crc, r["doc_tokens"], sequence, 0, ids))
-                sequence += 1
-        rests = [r for r in rows if r["rest"]]
-        for window in pack([len(r["rest"]) // 4 for r in rests], capacity):
+        for window in pack([len(r["rest"]) // 4 for r in rows], capacity, most):
             offset = 0
             for i, start, length in window:
-                r = rests[i]
-                ids = r["rest"][4 * start : 4 * (start + length)]
-                out.append((r["doc_id"], len(r["crcs"]) * capacity + start, length, zlib.crc32(ids), r["doc_tokens"], sequence, offset, ids if keep_ids else None))
+                r = rows[i]
+                before = r["doc_tokens"] - len(r["rest"]) // 4
+                out.append((r["doc_id"], before + start, length, r["doc_tokens"], sequence, offset, r["rest"][4 * start : 4 * (start + length)]))
                 offset += length
             sequence += 1
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _PIECES, strict=True)], schema=_PIECES)
@@ -155,21 +125,30 @@ def _pack_group(capacity: int, keep_ids: bool):
     return run
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP, path: str | None = None, keep_ids: bool = False) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids): each id of each document in one piece.
+def pack_documents(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP, path: str | None = None) -> DataFrame:
+    """(doc_id, start, length, doc_tokens, sequence_id, offset, ids): each id of each document in one piece.
 
     A null or empty text has the end id alone. A document of any length is cut. Repeated rows are packed each; a null
-    doc_id stays null. ``ids`` (little-endian unsigned 32-bit) is null unless ``keep_ids``. Other columns are ignored. An
+    doc_id stays null. ``ids`` has the piece's ids as little-endian unsigned 32-bit numbers. Other columns are ignored. An
     empty table gives an empty result. ``path``: the vocabulary file of a tokenizer.
     """
     scratch = Scratch(spark, "packing")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    encoded = scratch.cut(docs.mapInArrow(_encode(capacity, path, keep_ids), _ENCODED))
+    encoded = scratch.cut(docs.mapInArrow(_encode(path), "doc_id long, doc_tokens long, ids binary"))
     groups = max(1, -(-encoded.count() // group))
+    # full windows need no shuffle: only the rests meet in groups
+    whole = F.floor(F.col("doc_tokens") / capacity).cast("int")
+    full = F.transform(F.sequence(F.lit(0), whole - 1), lambda i: F.substring("ids", 4 * capacity * i + 1, F.lit(4 * capacity)))
+    full = encoded.where(F.col("doc_tokens") >= capacity).select("doc_id", "doc_tokens", F.posexplode(full).alias("nth", "ids"))
+    number = F.lit(1 << 62) + F.monotonically_increasing_id()
+    full = full.select("doc_id", (F.col("nth") * F.lit(capacity).cast("long")).alias("start"), F.lit(capacity).cast("long").alias("length"), "doc_tokens", number.alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "ids")
     # numbers of rows of a written table, so that neither a hot doc_id nor a lost task changes the groups' sizes
-    rows = encoded.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    return rows.groupBy("group").applyInArrow(_pack_group(capacity, keep_ids), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
+    rest = encoded.where(F.col("doc_tokens") % capacity > 0)
+    rest = rest.select("doc_id", "doc_tokens", F.substring("ids", 4 * capacity * whole + 1, F.lit(4 * capacity)).alias("rest"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("group"))
+    packed = rest.groupBy("group").applyInArrow(_pack_group(capacity, max(1, capacity // SHARE)), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return full.unionByName(packed)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(spark, spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("ids")
+    rows = pack_documents(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

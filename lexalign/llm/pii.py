@@ -64,7 +64,7 @@ def patterns(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all matches of the fixed forms, in order."""
     out = [(a, 0, b) for a, b in emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m[0].split(".")):
+        if all(len(p) < 4 and int(p or "0") < 256 for p in (x.lstrip("0") for x in m[0].split("."))):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         if 14 <= m.end() - m.start() and 14 <= len(d := _NOT_DIGIT.sub("", m[0])) <= 19 and luhn(d):
@@ -369,15 +369,29 @@ def added(field: Field, data: np.ndarray, offsets: np.ndarray) -> list[list[tupl
                 last += 1
             a, b = g[t], g[last]
             d = int(doc[a])
-            begin = int(point[start[a]] - point[offsets[d]]) + _strip(words[int(a)])[0]
-            stop = int(point[start[b]] - point[offsets[d]]) + _strip(words[int(b)])[1]
-            text = raw[offsets[d] : offsets[d + 1]].decode(errors="replace")[begin:stop] if stop > begin else ""
+            skip, last_word = _strip(words[int(a)])[0], words[int(b)]
+            over = len(last_word) - _strip(last_word)[1]  # the marks around a word have one byte each
+            begin = int(point[start[a]] - point[offsets[d]]) + skip
+            stop = int(point[end[b]] - point[offsets[d]]) - over
+            text = raw[start[a] + skip : end[b] - over].decode(errors="replace") if stop > begin else ""
             if text and _plausible(kind - 1, text):
                 out[d].append((begin, kind - 1, stop))
             t = last + 1
     return out
 
 
+def apart(more: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Those of ``more`` that touch none of ``base``; both in order of their starts."""
+    out, at, reach = [], 0, 0
+    for s in sorted(more, key=lambda s: s[2]):
+        while at < len(base) and base[at][0] < s[2]:
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach <= s[0]:
+            out.append(s)
+    return out
+
+
 def spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[str, list, list]]:
     """For each text: the text, the patterns' spans, and all spans."""
     more = added(field, data, offsets)
@@ -386,7 +400,7 @@ def spans(field: Field, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
         text = data[a:b].tobytes().decode(errors="replace")
         base = patterns(text) if signs[b] > signs[a] else []
-        extra = [s for s in more[i] if all(s[2] <= x[0] or x[2] <= s[0] for x in base)]
+        extra = apart(more[i], base)
         yield text, base, sorted(base + extra)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexalign.llm.storage import Scratch, partitions
-from lexalign.llm.words import BLANKS, U64, chunks, cut_words, grams
+from lexalign.llm.words import BLANKS, SMALL_CHUNK, U64, chunks, cut_words, grams
 
 #: Fourier features, bins of scores, folds for scores out of fold, and the ridge as a share of the rows.
 FEATURES, BINS, FOLDS, RIDGE = 256, 2048, 4, 1e-3
@@ -79,7 +79,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, data, offsets in chunks(batch, "text"):
+        for part, data, offsets in chunks(batch, "text", SMALL_CHUNK):
             rows = statistics(data, offsets).astype(np.float32)
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in part.schema.names if c != "text"), pa.array([r.tobytes() for r in rows], pa.binary())], names=[*(c for c in part.schema.names if c != "text"), "stats"])
 
@@ -227,7 +227,7 @@ def _good(score) -> object:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in chunks(batch, "text"):
+            for part, data, offsets in chunks(batch, "text", SMALL_CHUNK):
                 rows = statistics(data, offsets).astype(np.float32)
                 stats = pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], names=["stats"])
                 (scored,) = score(iter([stats]))

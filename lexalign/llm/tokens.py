@@ -1,13 +1,14 @@
 """Byte-level BPE ids of many texts at once.
 
 The pre-tokens of a chunk are cut with numpy by the classes of their characters, and each distinct one goes through the
-public tokenizer once for a process. The ids are those of ``Tokenizer.encode`` with ``add_special_tokens=False`` and
-strings of special tokens taken as ordinary text.
+public tokenizer, once for as long as the cache keeps it. The ids are those of ``Tokenizer.encode`` with
+``add_special_tokens=False``: the string of an added token is that token wherever it stands.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import sys
 import unicodedata
 
@@ -16,8 +17,11 @@ import numpy as np
 from lexalign.llm.words import U64, ranges_hash
 
 OTHER, LETTER, NUMBER, BLANK, UNKNOWN = range(5)
-#: Entries of the cache of a process at most; it starts afresh beyond.
-CACHE = 1 << 19
+#: Entries of the cache of a process; it starts afresh before texts that would go beyond. Texts that have more themselves are
+#: read with a cache of their own size, which goes with the next ones.
+CACHE = 1 << 17
+#: Pre-tokens that go through the tokenizer at once.
+BATCH = 1 << 14
 VOCABULARY = "byte_bpe_50k.json"
 
 _classes: list[np.ndarray] = []
@@ -67,7 +71,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        #: Added tokens that are cut out of a text as they stand; others change the text around them.
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added)
+        self.added = re.compile("|".join(re.escape(t.content) for t in sorted(added, key=lambda t: -len(t.content)))) if added else None
         self.clear()
 
     def clear(self) -> None:
@@ -76,10 +83,12 @@ class Encoder:
         self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def _learn(self, keys: list[int], pieces: list[str]) -> None:
-        if len(self.known) + len(keys) > CACHE:
-            raise OverflowError
-        for key, got in zip(keys, self.tokenizer.encode_batch(pieces, add_special_tokens=False), strict=True):
-            ids, k = got.ids, len(self.known)
+        for at in range(0, len(keys), BATCH):
+            self._keep(keys[at : at + BATCH], [got.ids for got in self.tokenizer.encode_batch(pieces[at : at + BATCH], add_special_tokens=False)])
+
+    def _keep(self, keys: list[int], every: list[list[int]]) -> None:
+        for key, ids in zip(keys, every, strict=True):
+            k = len(self.known)
             while self.used + len(ids) > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
             if k == len(self.at):
@@ -89,6 +98,12 @@ class Encoder:
             self.used += len(ids)
             self.known[key] = k
 
+    def _within(self, text: str, begin: np.ndarray, found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Places of added tokens in each text; where one of ``found`` runs over the end of a text, the texts are read singly."""
+        if all(begin[np.searchsorted(begin, a, "right")] >= b for a, b in found):
+            return found
+        return [(int(x) + m.start(), int(x) + m.end()) for x, y in zip(begin[:-1], begin[1:], strict=True) for m in self.added.finditer(text[x:y])]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in ``data`` (UTF-8), and where each text's begin, and the end."""
         try:
@@ -101,26 +116,30 @@ class Encoder:
         np.cumsum((data & 0xC0) != 0x80, out=where[1:])
         begin = where[offsets]
         kinds = classes()[points]
-        if (kinds == UNKNOWN).any():  # characters newer than this table: whole texts go through the tokenizer
+        special = [m.span() for m in self.added.finditer(text)] if self.added else []
+        if (kinds == UNKNOWN).any() or special and not self.plain:  # newer characters than this table has: whole texts go through the tokenizer
             got = [self.tokenizer.encode(text[a:b], add_special_tokens=False).ids for a, b in zip(begin[:-1], begin[1:], strict=True)]
             return np.array([x for ids in got for x in ids], np.uint32), np.cumsum([0, *map(len, got)])
-        starts = pretokens(points, kinds, begin)
+        if special:
+            special = self._within(text, begin, special)
+        edges = np.unique(np.concatenate([begin, np.array(special, np.int64).ravel()])) if special else begin
+        starts = pretokens(points, kinds, edges)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        if special:  # one piece each
+            a, b = np.array(special).T
+            at = np.searchsorted(a, starts, "right") - 1
+            starts = starts[(at < 0) | (starts == a[at]) | (starts >= b[at])]
         ends = np.append(starts[1:], len(points))
         keys = ranges_hash(points.astype(U64), starts, ends)
         keys, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
         keys = keys.tolist()
         new = [i for i, key in enumerate(keys) if key not in self.known]
         if new:
-            pieces = [text[starts[first[i]] : ends[first[i]]] for i in new]
-            try:
-                self._learn([keys[i] for i in new], pieces)
-            except OverflowError:
+            if len(self.known) + len(new) > CACHE:
                 self.clear()
-                if len(keys) > CACHE:
-                    raise MemoryError(f"one text has more than {CACHE} different pre-tokens") from None
-                return self.encode(data, offsets)
+                new = range(len(keys))
+            self._learn([keys[i] for i in new], [text[starts[first[i]] : ends[first[i]]] for i in new])
         entry = np.fromiter((self.known[key] for key in keys), np.int64, len(keys))[inverse]
         size = self.size[entry]
         total = np.cumsum(size)

@@ -13,7 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: For kernels that keep many arrays over the bytes of a chunk.
+SMALL_CHUNK = 1 << 19
 
 _rng = np.random.default_rng(20240229)
 BYTE_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -39,7 +41,7 @@ _powers: dict[str, np.ndarray] = {"up": np.ones(1, U64), "down": np.ones(1, U64)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i below n; kept up to 8 Mi entries."""
+    """BASE**i and BASE**-i modulo 2**64 for i below n; kept up to 2 Mi entries."""
     if len(_powers["up"]) >= n:
         return _powers["up"][:n], _powers["down"][:n]
     size = 1 << max(16, int(n - 1).bit_length())
@@ -51,7 +53,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             out[done : 2 * done] = out[:done] * U64(pow(base, done, 1 << 64))
             done *= 2
         made.append(out)
-    if size <= 8 << 20:
+    if size <= 2 << 20:
         _powers["up"], _powers["down"] = made
     return made[0][:n], made[1][:n]
 

@@ -58,7 +58,18 @@ def test_deduplicate_keeps_one_of_each_group(spark, documents):
     assert kept.columns == documents.columns
     rows = documents.collect()
     want = sorted({i for i, n, c in brute(rows, 5, 80) if i is not None and i == c})
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
+    got = kept.collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == want
+    assert not [r for r in got if r.doc_id is None]  # a copy of another document
+
+
+def test_deduplicate_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(4)
+    a, b, c = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(60)) for x in "abc")
+    rows = [(5, a, 1), (7, a + " x", 2), (7, b, 3), (7, c, 4), (7, c, 4), (9, None, 5), (9, None, 5), (None, b + " y", 6)]
+    kept = deduplicate(spark, spark.createDataFrame(rows, "doc_id long, text string, `key` long"))
+    assert kept.columns == ["doc_id", "text", "key"]
+    assert sorted(r.key for r in kept.collect()) == [1, 3, 4, 5, 5]
 
 
 def test_empty(spark, empty):

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexalign.llm.pii import KINDS, Field, emails, examples, find_pii, luhn, mask_pii, patterns, runs, shape, trained
+from lexalign.llm.pii import KINDS, Field, apart, emails, examples, find_pii, luhn, mask_pii, patterns, runs, shape, trained
 
 FORMS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
@@ -93,3 +93,13 @@ def test_clean_prose_stays(spark, documents, empty):
     assert all(not r.spans for r in find_pii(spark, documents).collect())
     assert find_pii(spark, empty).collect() == []
     assert mask_pii(spark, documents).columns == documents.columns
+
+
+def test_long_runs_of_digits_do_not_stop_it():
+    assert patterns("x " + "0" * 5000 + ".1.1.1 y") == [(2, 1, 5008)]
+    assert patterns("x " + "1" * 5000 + ".1.1.1 " + "0." * 9000) == patterns("x " + "1" * 5000 + ".1.1.1 " + "0." * 9000)
+
+
+def test_apart():
+    assert apart([(0, 0, 3), (4, 1, 9), (20, 2, 30)], [(3, 0, 5), (10, 1, 40)]) == [(0, 0, 3)]
+    assert apart([(0, 0, 3), (5, 1, 9)], []) == [(0, 0, 3), (5, 1, 9)]

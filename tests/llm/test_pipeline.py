@@ -39,4 +39,17 @@ def test_stages(spark):
 def test_run_is_all_stages(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "pii", "packing"]
     rows = corpus_pipeline.run(spark, SF)
-    assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and rows.count() > 0
+    assert rows.columns == ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"] and rows.count() > 0
+
+
+def test_odd_tables(spark, documents, empty):
+    """Nulls, empty and long texts, repeated rows, a clashing column, and no rows at all."""
+    for docs in (documents.withColumnRenamed("node", "key"), empty):
+        kept = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            out = spark.createDataFrame((done := stage(spark, docs, SF)).collect(), done.schema)
+            if name != "packing":
+                assert out.columns == docs.columns and out.count() <= kept
+                kept, docs = out.count(), out
+        assert (out.count() > 0) == (kept > 0)
+        assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}
