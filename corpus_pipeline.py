@@ -1,5 +1,11 @@
 """A corpus pipeline of five stages: good documents, one of each group of near copies, none with benchmark passages, no
-personal data, packed into windows. Each stage works on what the one before kept."""
+personal data, packed into windows. Each stage works on what the one before kept.
+
+In every stage: a null or empty text is a document without words, that is scored like any other, is nobody's copy, holds no
+passage and no personal data, and packs to its end id alone. A text of any length is read whole. Ties and repeated rows are
+settled as the operators say: equal rows get equal scores, one of equal rows with words stays, and each row is packed. An empty
+table gives an empty result. Filtering stages return all columns of their input, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -36,8 +42,8 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in windows of 1024 tokens."""
-    return pack_documents(spark, docs).drop("ids")
+    """Pieces of documents in windows of 1024 tokens, with their ids."""
+    return pack_documents(spark, docs)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("pii", pii), ("packing", packing)]

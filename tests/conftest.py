@@ -10,8 +10,6 @@ os.environ.setdefault("OMP_NUM_THREADS", "1")
 if ROOT not in sys.path:
     sys.path.insert(0, ROOT)
 
-DATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

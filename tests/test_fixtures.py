@@ -269,7 +269,7 @@ def test_readers(spark, tmp_path):
 
 
 def test_stream_equals_batch(spark):
-    from conftest import DATA
+    from data_folder import DATA
 
     from lexalign.plans import progress as Z
 
@@ -279,7 +279,7 @@ def test_stream_equals_batch(spark):
 
 
 def test_partitions_do_not_matter(spark):
-    from conftest import DATA
+    from data_folder import DATA
 
     from lexalign.plans import catalog
 

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import DATA
+from data_folder import DATA
 
 from lexalign.plans import catalog
 
