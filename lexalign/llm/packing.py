@@ -1,7 +1,7 @@
 """Packing documents into windows of equal length, by Karmarkar-Karp multiway differencing.
 
 A document's ids are cut at multiples of the capacity; each full piece is a window of its own. The rests are cut into even
-pieces of at most a quarter of the capacity and dealt into groups of a fixed number of documents, and each group is packed
+pieces of at most a sixth of the capacity and dealt into groups of a fixed number of documents, and each group is packed
 alone: every piece begins as a partition into k windows of which one is filled, and the two partitions of the largest
 imbalance are merged, the fullest windows of one with the emptiest of the other, until one is left. Its windows are near
 equal. While one of them exceeds the capacity, the number of windows rises; with pieces this small that costs less than a
@@ -25,7 +25,7 @@ from lexalign.llm.words import SMALL_CHUNK, chunks
 CAPACITY = 1024
 END = 0
 #: Documents packed together, and pieces that make a window at least.
-GROUP, SHARE = 1024, 4
+GROUP, SHARE = 1024, 6
 
 
 def differencing(sizes: np.ndarray, k: int) -> list[list[int]]:
@@ -83,10 +83,10 @@ def pack(sizes: np.ndarray, capacity: int, most: int | None = None) -> list[list
     if not len(sizes):
         return []
     item, start, length = pieces(sizes, most or capacity)
-    k, step = int(-(-length.sum() // capacity)), 1
+    k = int(-(-length.sum() // capacity))
     windows = differencing(length, k)
     while max(int(length[w].sum()) for w in windows) > capacity:
-        k, step = k + step, 2 * step
+        k += max(1, k // 256)
         windows = differencing(length, k)
     return [sorted((int(item[i]), int(start[i]), int(length[i])) for i in w) for w in windows if w]
 

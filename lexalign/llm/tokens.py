@@ -19,9 +19,9 @@ from lexalign.llm.words import U64, ranges_hash
 OTHER, LETTER, NUMBER, BLANK, UNKNOWN = range(5)
 #: Entries of the cache of a process; it starts afresh before texts that would go beyond. Texts that have more themselves are
 #: read with a cache of their own size, which goes with the next ones.
-CACHE = 1 << 17
+CACHE = 1 << 19
 #: Pre-tokens that go through the tokenizer at once.
-BATCH = 1 << 14
+BATCH = 1 << 12
 VOCABULARY = "byte_bpe_50k.json"
 
 _classes: list[np.ndarray] = []
@@ -75,28 +75,42 @@ class Encoder:
         #: Added tokens that are cut out of a text as they stand; others change the text around them.
         self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added)
         self.added = re.compile("|".join(re.escape(t.content) for t in sorted(added, key=lambda t: -len(t.content)))) if added else None
+        (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def _learn(self, keys: list[int], pieces: list[str]) -> None:
-        for at in range(0, len(keys), BATCH):
-            self._keep(keys[at : at + BATCH], [got.ids for got in self.tokenizer.encode_batch(pieces[at : at + BATCH], add_special_tokens=False)])
-
-    def _keep(self, keys: list[int], every: list[list[int]]) -> None:
-        for key, ids in zip(keys, every, strict=True):
-            k = len(self.known)
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            if k == len(self.at):
-                self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size))
-            self.pool[self.used : self.used + len(ids)] = ids
-            self.at[k], self.size[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[key] = k
+        """The cache: keys in order, and where each one's ids begin in the pool and how many there are."""
+        self.keys = np.zeros(0, U64)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 12, np.uint32), 0
+
+    def _learn(self, keys: np.ndarray, pieces: list[str], blank: np.ndarray) -> None:
+        """Adds the ids of new pre-tokens, ``keys`` in order. Those that aren't blank go through the tokenizer as lines of one
+        text: a line's end is a pre-token of its own there, whatever stands around it, and its id cuts the ids again."""
+        at, size, ids = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int32), []
+        total = self.used
+        plain = np.flatnonzero(~blank)
+        for begin in range(0, len(plain), BATCH):
+            mine = plain[begin : begin + BATCH]
+            got = np.array(self.tokenizer.encode("\n".join([*(pieces[i] for i in mine), ""]), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(got == self.line)
+            if len(ends) != len(mine):
+                raise AssertionError("a pre-token holds the end of a line")
+            size[mine] = np.diff(ends, prepend=-1) - 1
+            at[mine] = total + np.cumsum(size[mine]) - size[mine]
+            ids.append(got[got != self.line])
+            total += len(ids[-1])
+        for i in np.flatnonzero(blank):
+            got = self.tokenizer.encode(pieces[i], add_special_tokens=False).ids
+            at[i], size[i] = total, len(got)
+            ids.append(np.array(got, np.uint32))
+            total += len(got)
+        if total > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(total, np.uint32)])
+        self.pool[self.used : total] = np.concatenate(ids)
+        self.used = total
+        where = np.searchsorted(self.keys, keys)
+        self.keys, self.at, self.size = np.insert(self.keys, where, keys), np.insert(self.at, where, at), np.insert(self.size, where, size)
 
     def _within(self, text: str, begin: np.ndarray, found: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """Places of added tokens in each text; where one of ``found`` runs over the end of a text, the texts are read singly."""
@@ -133,19 +147,24 @@ class Encoder:
         ends = np.append(starts[1:], len(points))
         keys = ranges_hash(points.astype(U64), starts, ends)
         keys, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        keys = keys.tolist()
-        new = [i for i, key in enumerate(keys) if key not in self.known]
-        if new:
-            if len(self.known) + len(new) > CACHE:
+        new = np.flatnonzero(~self._has(keys))
+        if len(new):
+            if len(self.keys) + len(new) > CACHE:
                 self.clear()
-                new = range(len(keys))
-            self._learn([keys[i] for i in new], [text[starts[first[i]] : ends[first[i]]] for i in new])
-        entry = np.fromiter((self.known[key] for key in keys), np.int64, len(keys))[inverse]
-        size = self.size[entry]
+                new = np.arange(len(keys))
+            begins, stops = starts[first[new]], ends[first[new]]
+            self._learn(keys[new], [text[x:y] for x, y in zip(begins.tolist(), stops.tolist(), strict=True)], kinds[stops - 1] == BLANK)
+        entry = np.searchsorted(self.keys, keys)[inverse]
+        size = self.size[entry].astype(np.int64)
         total = np.cumsum(size)
         ids = self.pool[np.repeat(self.at[entry] - total + size, size) + np.arange(total[-1])]
         return ids, np.append(0, total)[np.searchsorted(starts, begin)]
 
+    def _has(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(keys), bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] == keys
+
 
 def encoder(path: str | None = None) -> Encoder:
     """The encoder of this process for a vocabulary file, by default the installed public one."""
