@@ -1,10 +1,13 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory. DataFrame operations only.
 
-Each line of a text, and the text as a whole, is a segment. A segment's vector has the words of the templates and each other
-distinct word once, all weighted by the inverse of how many segments of all documents hold them. A segment can reach the
-threshold only if the words outside the templates, were each as light as the most common of them, are few against the rest;
-this bound drops prose before any vector is made. What is left meets the templates by their words, and what is in reach then
-meets the counts of its other words.
+Each line of a text, and the text as a whole, is a segment. A segment's vector has the words of the templates by their counts
+and each other distinct word once, all weighted by the inverse of how many segments of all documents hold them. Templates are
+notices and whole licence texts; a licence may have several.
+
+Segments are settled within their row. Of each template the rarest words are set aside until the others alone can't reach the
+threshold: a segment without any word set aside is no match, which drops nearly all prose. What is left gets its products with
+all templates in place, from a table of weights that is one constant as large as the templates. Only segments that reach the
+threshold, were their other words as light as the commonest one, meet the counts of those words.
 
 A document takes the template of its best segment. One whose segments of that kind make up enough of its words is a licence
 file and speaks for its directory: documents without a licence of their own take that of the nearest directory above them
@@ -13,91 +16,114 @@ that has such a file, found by joining paths with each of their ancestors.
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexalign.llm.decontamination import words
+from lexalign.llm.license_texts import TEMPLATES
 from lexalign.llm.storage import Scratch, maybe_broadcast
 
 THRESHOLD = 0.6
 FILE_SHARE = 0.2
+#: Sums of products differ in their last digits by the order of addition; bounds let that much through.
+SLACK = 1e-5
+
+
+def forms(templates: dict[str, str | list[str]]) -> list[tuple[str, str]]:
+    """(licence, text) of all templates, in order."""
+    return sorted((name, body) for name, bodies in templates.items() for body in ([bodies] if isinstance(bodies, str) else bodies))
+
 
-#: Headers and short notices by licence, own wording of the usual forms.
-TEMPLATES = {
-    "AGPL-3.0": "This program is licensed under the GNU Affero General Public License, version 3.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0, Creative Commons Attribution.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC0-1.0": "To the extent possible under law, the author has waived all copyright. CC0 public domain dedication.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "Proprietary": "All rights reserved.",
-}
-
-
-def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """(license, word, tf): a row for each word of each template; as many rows as the parameter has words."""
-    rows = spark.createDataFrame(sorted(templates.items()), "license string, body string")
-    rows = rows.select("license", F.explode(words(F.col("body"))).alias("word"))
-    return rows.groupBy("license", "word").agg(F.count("*").cast("double").alias("tf"))
-
-
-def segments(docs: DataFrame, vocabulary: Column | None = None) -> DataFrame:
-    """(row, path, n_words, segment, w, others): the lines of each text, numbered from 1, and the whole text as 0 if it has
-    several; ``others`` counts the distinct words outside the vocabulary.
-
-    Texts are cut into words once, inside the generator's input, as a filter on a projected column would cut them again."""
+def segments(docs: DataFrame, made: dict, gate=None) -> DataFrame:
+    """(row, path, n_words, segment, size, ...): the lines of each text, numbered from 1, and the whole text as 0 if it has
+    several. ``made`` names functions of a segment's words, each a column. ``gate`` tells by the words of the whole text whether
+    it has any segments.
+
+    Everything is made inside a generator's input, as a filter on a projected column would cut the text again."""
     lines = F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1), words)
-    others = (lambda w: F.size(F.array_except(w, vocabulary))) if vocabulary is not None else (lambda w: F.lit(0))
     rows = docs.select("row", "path", lines.alias("lines"))
     whole = F.flatten("lines")
+    if gate is not None:
+        rows = rows.select("row", "path", F.explode(F.when(gate(whole), F.array("lines"))).alias("lines"))
     every = F.concat(F.array(F.when(F.size("lines") > 1, whole).otherwise(F.array().cast("array<string>"))), F.col("lines"))
-    rows = rows.select("row", "path", F.size(whole).alias("n_words"), F.posexplode(F.transform(every, lambda w: F.struct(w.alias("w"), others(w).alias("others")))).alias("segment", "s"))
-    return rows.select("row", "path", "n_words", "segment", "s.w", "s.others").where(F.size("w") > 0)
-
-
-def matches(spark: SparkSession, docs: DataFrame, templates: dict[str, str], threshold: float, scratch: Scratch) -> DataFrame:
+    parts = F.transform(every, lambda w: F.struct(F.size(w).alias("size"), *[f(w).alias(name) for name, f in made.items()]))
+    rows = rows.select("row", "path", F.size(whole).alias("n_words"), F.posexplode(parts).alias("segment", "s"))
+    return rows.select("row", "path", "n_words", "segment", "s.size", *[f"s.{name}" for name in made]).where(F.col("size") > 0)
+
+
+def _constant(value: list, kind: str) -> Column:
+    """A nested array as one folded constant, where literals of its members would be planned one by one."""
+    return F.from_json(F.lit(json.dumps({"x": value})), f"struct<x:{kind}>")["x"]
+
+
+class Weights:
+    """What the templates weigh among the counted documents: lists as long as the templates' words."""
+
+    def __init__(self, spark: SparkSession, counts: DataFrame, templates: dict[str, str | list[str]], threshold: float):
+        self.forms = forms(templates)
+        table = spark.createDataFrame([(i, body) for i, (_, body) in enumerate(self.forms)], "form int, body string")
+        table = table.select("form", F.explode(words(F.col("body"))).alias("word")).groupBy("form", "word").agg(F.count("*").alias("tf")).collect()  # the parameter's words
+        self.vocabulary = sorted({r.word for r in table}) or [""]
+        known = spark.createDataFrame([(w,) for w in self.vocabulary], "word string")
+        self.total = counts.where("word = ''").agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]
+        df = {r.word: r.df for r in counts.join(F.broadcast(known), "word").collect()}
+        common = counts.where(F.col("word") != "").join(F.broadcast(known), "word", "left_anti")
+        self.least = self.idf(common.agg(F.coalesce(F.max("df"), F.lit(0))).first()[0])
+        idf = {w: self.idf(df.get(w, 0)) for w in self.vocabulary}
+        place = {w: i for i, w in enumerate(self.vocabulary)}
+        self.squares = [idf[w] ** 2 for w in self.vocabulary]
+        #: By word and form: what one of the word adds to the cosine's product, over the form's length.
+        self.products = [[0.0] * len(self.forms) for _ in self.vocabulary]
+        self.rare: set[str] = set()
+        for i in range(len(self.forms)):
+            mine = {r.word: r.tf for r in table if r.form == i}
+            square = sum((tf * idf[w]) ** 2 for w, tf in mine.items())
+            rest = square
+            for w in sorted(mine, key=lambda w: (-idf[w], w)):
+                self.products[place[w]][i] = mine[w] * idf[w] ** 2 / math.sqrt(square)
+                if rest >= (threshold - SLACK) ** 2 * square:
+                    self.rare.add(w)
+                rest -= (mine[w] * idf[w]) ** 2
+
+    def idf(self, df: int) -> float:
+        return math.log((1.0 + self.total) / (1.0 + df)) + 1
+
+    def idf_of(self, df: Column) -> Column:
+        return F.log((F.lit(1.0) + self.total) / (F.lit(1.0) + df)) + 1
+
+
+def matches(spark: SparkSession, docs: DataFrame, templates: dict[str, str | list[str]], threshold: float, scratch: Scratch) -> DataFrame:
     """(row, segment, n_words, size, license, cosine): segments with their best template, if it reaches the threshold."""
-    table = scratch.cut(template_table(spark, templates))
-    found = [r.word for r in table.select("word").distinct().orderBy("word").collect()]  # the parameter's words
-    vocabulary = F.split(F.lit(" ".join(found)), " ")  # one constant, where an array of literals would be planned one by one
-    counted = segments(docs).select(F.explode(F.concat(F.array_distinct("w"), F.array(F.lit("")))).alias("word"))
+    counted = segments(docs, {"w": F.array_distinct}).select(F.explode(F.concat("w", F.array(F.lit("")))).alias("word"))
     counts = scratch.cut(counted.groupBy("word").agg(F.count("*").alias("df")))  # the empty word counts all segments
-    total = counts.where("word = ''").agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]
-    weight = lambda df: F.log((F.lit(1.0) + total) / (F.lit(1.0) + df)) + 1
-    common = counts.where(F.col("word") != "").join(F.broadcast(table.select("word").distinct()), "word", "left_anti")
-    least = weight(F.lit(common.agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]))
-    table = table.join(counts, "word", "left").withColumn("idf", weight(F.coalesce("df", F.lit(0)))).select("license", "word", "tf", "idf")
-    norms = table.groupBy("license").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"))
-    table = scratch.cut(table.join(norms, "license"))
-    most = F.lit(table.agg(F.coalesce(F.max("idf"), F.lit(0.0))).first()[0])
-    others = F.col("others")
-    inside = F.size("w") - others
-    # even with the largest weight, words of templates must outweigh the rest at the least
-    reach = (1 - threshold**2) * F.pow(inside * most, 2) >= threshold**2 * others * least * least * (1 - 1e-5)
-    rows = segments(docs, vocabulary).where(reach & (inside > 0))
-    known = table.groupBy("word").agg(F.first("idf").alias("idf"))
-    terms = rows.select("row", "n_words", "segment", "others", F.size("w").alias("size"), F.explode("w").alias("word")).join(F.broadcast(known), "word")
-    terms = terms.groupBy("row", "segment", "n_words", "size", "others", "word", "idf").agg(F.count("*").cast("double").alias("tf"))
-    square = F.sum(F.pow(F.col("tf") * F.col("idf"), 2))
-    lengths = terms.groupBy("row", "segment").agg(square.alias("square"))
-    dots = terms.join(F.broadcast(table.select("word", "license", F.col("tf").alias("of"), "norm")), "word")
-    dots = dots.groupBy("row", "segment", "n_words", "size", "others", "license", "norm").agg(F.sum(F.col("tf") * F.col("of") * F.col("idf") * F.col("idf")).alias("dot"))
-    cosine = lambda rest: F.col("dot") / (F.col("norm") * F.sqrt(F.col("square") + rest))
-    near = scratch.cut(dots.join(lengths, ["row", "segment"]).where(cosine(others * least * least) >= threshold - 1e-5))
+    known = Weights(spark, counts, templates, threshold)
+    vocabulary, rare = _constant(known.vocabulary, "array<string>"), _constant(sorted(known.rare), "array<string>")
+    products, squares = _constant(known.products, "array<array<double>>"), _constant(known.squares, "array<double>")
+    nothing = F.array().cast("array<string>")
+    has_rare = lambda w: F.arrays_overlap(w, rare)
+    rows = segments(docs, {"w": lambda w: F.when(has_rare(w), w).otherwise(nothing)}, has_rare).where(F.size("w") > 0)
+    # each step is a generator of one row, lest the next one's filter makes it anew
+    step = lambda df, **made: df.select(*df.columns, F.explode(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))).alias("s")).select(*df.columns, *[f"s.{n}" for n in made])
+    count = lambda x: (F.size("w") - F.size(F.array_remove("w", x))).cast("double")
+    terms = F.transform(F.array_intersect("w", vocabulary), lambda x: F.struct(F.array_position(vocabulary, x).cast("int").alias("at"), count(x).alias("tf")))
+    rows = step(rows, terms=terms, n_others=F.size(F.array_except("w", vocabulary)))
+    add = lambda acc, t: F.zip_with(acc, F.element_at(products, t["at"]), lambda a, c: a + t["tf"] * c)
+    dots = F.aggregate("terms", F.array_repeat(F.lit(0.0), len(known.forms)), add)
+    square = F.aggregate("terms", F.lit(0.0), lambda acc, t: acc + t["tf"] * t["tf"] * F.element_at(squares, t["at"]))
+    rows = step(rows, dots=dots, square=square)
+    reach = F.array_max("dots") >= (threshold - SLACK) * F.sqrt(F.col("square") + F.col("n_others") * known.least**2)
+    near = scratch.cut(rows.where(reach).select("row", "segment", "n_words", "size", "dots", "square", F.array_except("w", vocabulary).alias("others")))
     # the other words of what is still in reach, with the weights they have
-    some = scratch.cut(near.where("others > 0").select("row", "segment").distinct())
-    rest = segments(docs, vocabulary).join(maybe_broadcast(some, 24), ["row", "segment"])
-    rest = scratch.cut(rest.select("row", "segment", F.explode(F.array_except("w", vocabulary)).alias("word")))
-    weights = scratch.cut(counts.join(rest.select("word").distinct(), "word").select("word", weight(F.col("df")).alias("idf")))
+    rest = near.select("row", "segment", F.explode("others").alias("word"))
+    weights = scratch.cut(counts.join(rest.select("word").distinct(), "word").select("word", known.idf_of(F.col("df")).alias("idf")))
     rest = rest.join(maybe_broadcast(weights, 64), "word").groupBy("row", "segment").agg(F.sum(F.pow("idf", F.lit(2))).alias("rest"))
-    found = near.join(rest, ["row", "segment"], "left").withColumn("cosine", F.round(cosine(F.coalesce("rest", F.lit(0.0))), 6)).where(F.col("cosine") >= threshold)
-    first = F.struct((-F.col("cosine")).alias("c"), F.col("license"))
-    best = found.groupBy("row", "segment", "n_words", "size").agg(F.min(first).alias("best"))
+    length = F.sqrt(F.col("square") + F.coalesce("rest", F.lit(0.0)))
+    names = _constant([name for name, _ in known.forms], "array<string>")
+    every = F.zip_with("dots", names, lambda d, name: F.struct((-F.round(d / length, 6)).alias("c"), name.alias("license")))
+    best = near.join(rest, ["row", "segment"], "left").withColumn("best", F.array_min(every)).where(-F.col("best.c") >= threshold)
     return best.select("row", "segment", "n_words", "size", "best.license", (-F.col("best.c")).alias("cosine"))
 
 
@@ -106,13 +132,14 @@ def parent(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
-def scan(spark: SparkSession, docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> DataFrame:
+def scan(spark: SparkSession, docs: DataFrame, templates: dict[str, str | list[str]] | None = None, threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> DataFrame:
     """(doc_id, path, own_license, cosine, license, origin, license_dir) for a table (doc_id, path, text).
 
     ``origin`` is header, inherited or none; ``license_dir`` the directory of the file it comes from. Ties go to the larger
     cosine, then the licence that sorts first; of a directory's files the one with the largest cosine speaks, then the licence
     that sorts first. Null and wordless texts have no licence of their own but inherit. A null path is in no directory.
-    Repeated rows each get their result. Other columns are ignored. An empty table gives an empty result.
+    A text of any length is one whole segment beside its lines. Repeated rows each get their result. Other columns are
+    ignored. An empty table gives an empty result. ``templates`` has one text or several for each licence.
     """
     scratch = Scratch(spark, "licenses")
     templates = TEMPLATES if templates is None else templates
@@ -140,11 +167,12 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, docs.select("doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text"))
 
 
-def sql(templates: dict[str, str] | None = None, threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> str:
-    values = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in pair)) for pair in sorted((TEMPLATES if templates is None else templates).items()))
+def sql(templates: dict[str, str | list[str]] | None = None, threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> str:
+    quoted = lambda x: "'" + x.replace("'", "''").replace("\n", " ") + "'"
+    values = ", ".join(f"({i}, {quoted(name)}, {quoted(body)})" for i, (name, body) in enumerate(forms(TEMPLATES if templates is None else templates)))
     cut = r"list_filter(string_split_regex(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')".format
     return f"""
-WITH t AS (SELECT license, word, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT license, unnest({cut("body")}) AS word FROM (VALUES {values}) v(license, body)) GROUP BY 1, 2),
+WITH t AS (SELECT form, license, word, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT form, license, unnest({cut("body")}) AS word FROM (VALUES {values}) v(form, license, body)) GROUP BY 1, 2, 3),
 d AS (SELECT doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path, coalesce(text, '') AS text, len({cut("text")}) AS n_words FROM documents),
 lines AS (SELECT doc_id, n_words, string_split(text, chr(10)) AS l, text FROM d),
 seg AS (
@@ -155,16 +183,14 @@ n AS (SELECT CAST(count(*) AS DOUBLE) AS total FROM s),
 vocab AS (SELECT DISTINCT word FROM t),
 words AS (SELECT doc_id, segment, n_words, len(w) AS size, unnest(w) AS word FROM s),
 tf AS (SELECT doc_id, segment, n_words, size, word, CAST(count(*) AS DOUBLE) AS tf FROM words GROUP BY ALL),
-df AS (SELECT word, CAST(count(*) AS DOUBLE) AS df FROM tf JOIN vocab USING (word) GROUP BY word),
-idf AS (SELECT word, ln((1.0 + total) / (1.0 + coalesce(df, 0))) + 1 AS idf FROM vocab LEFT JOIN df USING (word), n),
-norm AS (SELECT license, sqrt(sum(pow(tf * idf, 2))) AS norm FROM t JOIN idf USING (word) GROUP BY license),
-length AS (
-  SELECT doc_id, segment, sqrt(coalesce(sum(pow(tf * idf, 2)), 0) + count(*) FILTER (WHERE idf IS NULL) * pow(ln(1.0 + any_value(total)) + 1, 2)) AS length
-  FROM tf LEFT JOIN idf USING (word), n GROUP BY 1, 2),
-dot AS (SELECT doc_id, segment, n_words, size, license, sum(tf.tf * t.tf * idf * idf) AS dot FROM tf JOIN idf USING (word) JOIN t USING (word) GROUP BY ALL),
+df AS (SELECT word, CAST(count(*) AS DOUBLE) AS df FROM tf GROUP BY word),
+idf AS (SELECT word, ln((1.0 + total) / (1.0 + coalesce(df, 0))) + 1 AS idf, vocab.word IS NOT NULL AS inside FROM df FULL JOIN vocab USING (word), n),
+norm AS (SELECT form, sqrt(sum(pow(tf * idf, 2))) AS norm FROM t JOIN idf USING (word) GROUP BY form),
+length AS (SELECT doc_id, segment, sqrt(sum(pow(CASE WHEN inside THEN tf ELSE 1 END * idf, 2))) AS length FROM tf JOIN idf USING (word) GROUP BY 1, 2),
+dot AS (SELECT doc_id, segment, n_words, size, form, license, sum(tf.tf * t.tf * idf * idf) AS dot FROM tf JOIN idf USING (word) JOIN t USING (word) GROUP BY ALL),
 found AS (
   SELECT doc_id, segment, n_words, size, license, round(dot / (norm * length), 6) AS cosine
-  FROM dot JOIN norm USING (license) JOIN length USING (doc_id, segment)),
+  FROM dot JOIN norm USING (form) JOIN length USING (doc_id, segment)),
 best AS (
   SELECT * FROM found WHERE cosine >= {threshold}
   QUALIFY row_number() OVER (PARTITION BY doc_id, segment ORDER BY cosine DESC, license) = 1),

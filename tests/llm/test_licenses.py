@@ -3,14 +3,15 @@ import math
 import duckdb
 import pytest
 
-from lexalign.llm.licenses import TEMPLATES, op2_licenses, scan, sql
+from lexalign.llm.license_texts import TEMPLATES
+from lexalign.llm.licenses import forms, op2_licenses, scan, sql
 
 
 def test_inheritance(spark):
     prose = "some words of prose that say nothing here " * 5
     rows = [
-        (1, "LICENSE", TEMPLATES["MIT"]), (2, "a/b/c/x.txt", prose), (3, "a/LICENSE", "copyright notice\n" + TEMPLATES["GPL-3.0"]), (4, "a/b/y.txt", prose), (5, "z/q.txt", prose),
-        (6, "a/b/own.txt", prose + "\nThis work is LICENSED under the GNU general public license, version 3!\n" + prose), (7, "a/b/c/d/LICENSE", TEMPLATES["Apache-2.0"]), (8, "a/b/c/d/e/f.txt", None), (9, None, prose), (9, None, prose), (10, "ab/c.txt", ""), (11, "a/b/c/d/COPYING", TEMPLATES["Apache-2.0"]),
+        (1, "LICENSE", TEMPLATES["MIT"][0]), (2, "a/b/c/x.txt", prose), (3, "a/LICENSE", "copyright notice\n" + TEMPLATES["GPL-3.0"][0]), (4, "a/b/y.txt", prose), (5, "z/q.txt", prose),
+        (6, "a/b/own.txt", prose + "\nThis work is LICENSED under the GNU general public license, version 3!\n" + prose), (7, "a/b/c/d/LICENSE", TEMPLATES["Apache-2.0"][0]), (8, "a/b/c/d/e/f.txt", None), (9, None, prose), (9, None, prose), (10, "ab/c.txt", ""), (11, "a/b/c/d/COPYING", TEMPLATES["Apache-2.0"][0]),
     ]
     docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, path string, text string, license string")
     got = scan(spark, docs).collect()
@@ -23,10 +24,24 @@ def test_inheritance(spark):
 
 def test_every_template_is_found_by_itself(spark):
     filler = [(f"w{i} x{i} y{i} the of and", ) for i in range(50)]
-    docs = spark.createDataFrame([(i, f"d{i}/f", t) for i, t in enumerate([*TEMPLATES.values(), *(f[0] for f in filler)])], "doc_id long, path string, text string")
+    every = forms(TEMPLATES)
+    # whole texts stand on several lines, below a title and a copyright notice of their own
+    texts = [body if len(body) < 200 else f"Copyright 2020 Some One\n\n{body}" for _, body in every]
+    docs = spark.createDataFrame([(i, f"d{i}/f", t) for i, t in enumerate([*texts, *(f[0] for f in filler)])], "doc_id long, path string, text string")
     got = {r.doc_id: (r.own_license, r.cosine) for r in scan(spark, docs).collect()}
-    assert [got[i] for i in range(len(TEMPLATES))] == [(name, 1.0) for name in TEMPLATES]
-    assert all(got[i][0] is None for i in range(len(TEMPLATES), len(got)))
+    assert [got[i][0] for i in range(len(every))] == [name for name, _ in every]
+    assert all(got[i][1] > 0.9 for i in range(len(every)))
+    assert all(got[i][0] is None for i in range(len(every), len(got)))
+
+
+def test_odd_tables(spark, documents):
+    """Nulls, long texts, repeated rows, ties and columns of the operator's own names."""
+    rows = documents.selectExpr("doc_id", "source || '/x' as path", "text", "lang as license", "node as row", "n_chars as cosine")
+    got = scan(spark, rows).collect()
+    assert len(got) == rows.count() and {r.origin for r in got} == {"none"}
+    tie = {"B": "alpha beta gamma", "A": "gamma beta alpha"}
+    found = scan(spark, spark.createDataFrame([(1, "p", "alpha beta gamma " * 20_000), (1, "p", "alpha beta gamma " * 20_000), (2, None, "beta gamma")], "doc_id long, path string, text string"), tie).collect()
+    assert [(r.own_license, r.cosine) for r in found if r.doc_id == 1] == [("A", 1.0)] * 2
 
 
 @pytest.mark.parametrize("sf", ["sf0.001"])
@@ -45,7 +60,7 @@ def test_empty(spark, empty):
 
 
 def test_common_words_weigh_little(spark):
-    rows = ["and en prose"] * 400 + [TEMPLATES["MIT"]] * 100 + ["and en " + TEMPLATES["MIT"], "quite odd " + TEMPLATES["MIT"]]
+    rows = ["and en prose"] * 400 + [TEMPLATES["MIT"][0]] * 100 + ["and en " + TEMPLATES["MIT"][0], "quite odd " + TEMPLATES["MIT"][0]]
     docs = spark.createDataFrame([(i, f"d{i}/f", t) for i, t in enumerate(rows)], "doc_id long, path string, text string")
     got = {r.doc_id: r for r in scan(spark, docs).collect()}
     total, df = len(rows), {"and": 401, "en": 401, "mit": 102}
