@@ -202,6 +202,28 @@ def promote_chapter(c: Column) -> Column:
     return F.when(strip(c).rlike(r"^第[一二三四五六七八九十百千〇零0-9]+章$"), F.concat(F.lit("# "), strip(c))).otherwise(c)
 
 
+# Titles of collected tales.
+MAJOR_TITLES = ("神话", "传说", "故事", "笑话", "寓言")
+
+
+def is_major_title(c: Column) -> Column:
+    return compact_heading(c).isin(*MAJOR_TITLES)
+
+
+def is_subsection_title(c: Column) -> Column:
+    """Headings of 18 characters at most that end with the name of a kind of tale."""
+    title = compact_heading(c)
+    return (F.length(title) <= 18) & title.rlike(f"(?:{'|'.join(MAJOR_TITLES)})$")
+
+
+def story_heading(c: Column) -> Column:
+    """``012. title`` for lines that begin with a number of three digits and a mark, else null."""
+    line = normalize_line(c)
+    form = r"^([0-9０-９]{3})(?U)\s*[.．、]\s*(.+)$"
+    title = squeeze(normalize_line(F.regexp_extract(line, form, 2)))
+    return F.when(line.rlike(form), F.concat(fold_digits(F.regexp_extract(line, form, 1)), F.lit(". "), title))
+
+
 def trim_suffix(c: Column, suffix: Column) -> Column:
     """Without ``suffix``, in the text or else in the text without blanks."""
     cut = lambda x: F.left(x, F.length(x) - F.length(suffix))
@@ -264,7 +286,7 @@ def is_kana_only(c: Column) -> Column:
 
 
 def is_content(c: Column) -> Column:
-    return empty(c).rlike(f"[{CONTENT}]") & ~empty(c).rlike(PUNCTUATION)
+    return empty(c).rlike(f"[{CONTENT}]")  # no such character is a mark
 
 
 def skeleton(c: Column) -> Column:
@@ -315,8 +337,11 @@ def tex_characters(c: Column) -> Column:
 
 
 def tex_escape(c: Column) -> Column:
-    """Each special character replaced at once, so that no replacement is replaced again."""
-    return F.array_join(tex_characters(c), "")
+    """Special characters replaced, none of a replacement again: the backslash comes first, and the braces behind its name, which
+    no text has right behind a backslash any more, are left out."""
+    c = F.replace(empty(c), F.lit("\\"), F.lit(_TEX["\\"]))
+    c = F.regexp_replace(c, r"(?<!\\textbackslash)\{|(?<!\\textbackslash\{)\}|[&%$#_]", r"\\$0")
+    return F.replace(F.replace(c, F.lit("~"), F.lit(_TEX["~"])), F.lit("^"), F.lit(_TEX["^"]))
 
 
 def tex_author(author: str, reading: str) -> str:

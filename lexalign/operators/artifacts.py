@@ -107,12 +107,13 @@ def catalogue(items: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame,
 
 
 def unique_names(items: DataFrame, path: str, book: str, order: list[str]) -> DataFrame:
-    """Adds ``name``: the path for the first item that has it, with the book for the second, and a number from 2 on."""
-    place = F.row_number().over(W.partitionBy(path).orderBy(*order))
+    """Adds ``name``: the path for the first item that has it; later ones add their book, and a number from 2 on where that book
+    was added before."""
+    rows = items.withColumn("_first", F.row_number().over(W.partitionBy(path).orderBy(*order)) == 1)
+    rows = rows.withColumn("_again", F.row_number().over(W.partitionBy(path, book, "_first").orderBy(*order)))
     stem, suffix = F.regexp_replace(path, r"\.[^./]*$", ""), F.regexp_extract(path, r"(\.[^./]*)$", 1)
-    again = F.when(F.col("_place") == 2, F.concat(F.lit(" - "), F.col(book))).otherwise(F.concat(F.lit(" - "), F.col(book), F.lit("-"), (F.col("_place") - 1).cast("string")))
-    rows = items.withColumn("_place", place)
-    return rows.withColumn("name", F.when(F.col("_place") == 1, F.col(path)).otherwise(F.concat(stem, again, suffix))).drop("_place")
+    number = F.when(F.col("_again") > 1, F.concat(F.lit("-"), F.col("_again").cast("string"))).otherwise("")
+    return rows.withColumn("name", F.when(F.col("_first"), F.col(path)).otherwise(F.concat(stem, F.lit(" - "), F.col(book), number, suffix))).drop("_first", "_again")
 
 
 def book_text_statistics(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexalign.functions import text as X
+from lexalign.operators import tokens as K
+
 LEVELS = ("section", "subsection", "story")
 
 
@@ -35,6 +38,40 @@ def book(paragraphs: DataFrame, payload: str = "paragraph") -> DataFrame:
     return rows.groupBy("doc").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "item"))), lambda x: x["item"]).alias("sections"))
 
 
+def filtered(books: DataFrame, titles: list[str] | None = None, drop_notes: bool = False) -> DataFrame:
+    """Books (…, sections) with the sections of the given Chinese titles only (all, if none is given), and without units that are
+    an editor's note or blank if ``drop_notes``. Paragraphs, stories, subsections and sections of which nothing is left go as
+    well, and a paragraph's source is that of its units."""
+    from lexalign.operators.validate import note_unit
+
+    def kept(u: Column) -> Column:
+        zh, ja = K.surface(u["zh"]), K.lines_text(u["ja"])
+        return ~note_unit(zh, ja, u["source_text"], u["corrected_text"]) & ((X.strip(zh) != "") | (X.strip(ja) != ""))
+
+    def paragraph(p: Column) -> Column:
+        units = F.coalesce(p["units"], F.array().cast(units_type))
+        units = F.filter(units, kept) if drop_notes else units
+        text = F.array_join(F.transform(units, lambda u: K.surface(u["zh"])), "")
+        source = lambda name: F.when(text != "", text).otherwise(p[name])
+        return p.withField("units", units).withField("source_text", source("source_text")).withField("corrected_text", source("corrected_text"))
+
+    def pruned(node: Column, child: str, below) -> Column:
+        return node.withField(child, F.filter(F.transform(node[child], below), lambda x: F.size(x[_CHILD[child]]) > 0))
+
+    story = lambda y: pruned(y, "paragraphs", paragraph)
+    subsection = lambda u: pruned(u, "stories", story)
+    section = lambda s: pruned(s, "subsections", subsection)
+    sections = books.schema["sections"].dataType.elementType
+    units_type = sections["subsections"].dataType.elementType["stories"].dataType.elementType["paragraphs"].dataType.elementType["units"].dataType.simpleString()
+    rows = F.col("sections")
+    if titles:
+        rows = F.filter(rows, lambda s: X.strip(K.surface(s["title_zh"])).isin(*titles))
+    return books.withColumn("sections", F.filter(F.transform(rows, section), lambda s: F.size(s["subsections"]) > 0))
+
+
+_CHILD = {"paragraphs": "units", "stories": "paragraphs", "subsections": "stories"}
+
+
 def strict_order(manifest: DataFrame, results: DataFrame) -> DataFrame:
     """Chunks that hold up an assembly: those without a result of the manifest's paragraphs."""
     from lexalign.operators.progress import status

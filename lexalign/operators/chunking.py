@@ -100,15 +100,15 @@ def split_oversized(chunks: DataFrame, most: int) -> DataFrame:
     )
 
 
-def merge_parts(chunks: DataFrame, ord: str = "ord") -> DataFrame:
-    """(chunk_id, paragraph_id, text, ord): parts of one origin that follow each other are one chunk again."""
-    rows = chunks.withColumn("_all", F.lit(0)).withColumn("_key", F.coalesce("split_from_chunk_id", F.concat(F.lit("#"), F.col(ord).cast("string"))))
-    rows = islands(rows, "_all", ord, "_key")
+def merge_parts(chunks: DataFrame, doc: str = "doc", ord: str = "ord") -> DataFrame:
+    """(doc, chunk_id, paragraph_id, text, ord): parts of one origin that follow each other in a document are one chunk again."""
+    rows = chunks.withColumn("_key", F.coalesce("split_from_chunk_id", F.concat(F.lit("#"), F.col(ord).cast("string"))))
+    rows = islands(rows, doc, ord, "_key")
     first = F.min_by(F.struct("paragraph_id", "chunk_id"), F.col(ord))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("split_part", F.lit(0)).alias("p"), F.col(ord).alias("o"), F.col("text").alias("text")))), lambda x: x["text"]), "")
-    out = rows.groupBy("island", "_key").agg(F.min(ord).alias("ord"), first.alias("_first"), F.max("split_from_chunk_id").alias("_from"), text.alias("text"))
+    out = rows.groupBy(doc, "island", "_key").agg(F.min(ord).alias("ord"), first.alias("_first"), F.max("split_from_chunk_id").alias("_from"), text.alias("text"))
     part = F.col("_from").isNotNull()
-    return out.select(F.when(part, F.col("_from")).otherwise(F.col("_first.chunk_id")).alias("chunk_id"), F.when(part, X.strip_part(F.col("_first.paragraph_id"))).otherwise(F.col("_first.paragraph_id")).alias("paragraph_id"), "text", "ord")
+    return out.select(doc, F.when(part, F.col("_from")).otherwise(F.col("_first.chunk_id")).alias("chunk_id"), F.when(part, X.strip_part(F.col("_first.paragraph_id"))).otherwise(F.col("_first.paragraph_id")).alias("paragraph_id"), "text", "ord")
 
 
 def selected(chunks: DataFrame, first: int = 1, last: int | None = None, most: int | None = None) -> DataFrame:

@@ -111,13 +111,14 @@ def triggers(rows: DataFrame, keys: list[str], least: int, longest: float) -> Da
 
 def admission(queue: DataFrame, cap: int) -> DataFrame:
     """Queue (ord, id, complete, active) with ``decision``: skip what is complete, run what is active, start others in order
-    while fewer than ``cap`` run, and defer the rest. A queue is one order, so one task reads it."""
+    while fewer than ``cap`` run, and defer the rest. Only the first ``cap`` that could start are put in order."""
     open_ = ~F.col("complete") & ~F.col("active")
-    running = F.count_if(F.col("active") & ~F.col("complete")).over(W.partitionBy())
-    place = F.sum(F.when(open_, 1).otherwise(0)).over(W.orderBy("ord").rowsBetween(W.unboundedPreceding, 0))
-    rows = queue.withColumn("_place", place).withColumn("_running", running)
-    decision = F.when(F.col("complete"), "skip").when(F.col("active"), "active").when(F.col("_place") + F.col("_running") <= cap, "start").otherwise("defer")
-    return rows.withColumn("decision", decision).drop("_place", "_running")
+    running = queue.agg(F.count_if(F.col("active") & ~F.col("complete"))).scalar()
+    first = queue.where(open_).select("ord", "id").orderBy("ord").limit(cap)
+    first = first.withColumn("_place", F.row_number().over(W.orderBy("ord"))).where(F.col("_place") + running <= cap)
+    rows = queue.join(F.broadcast(first.drop("ord")), "id", "left")
+    decision = F.when(F.col("complete"), "skip").when(F.col("active"), "active").when(F.col("_place").isNotNull(), "start").otherwise("defer")
+    return rows.withColumn("decision", decision).drop("_place")
 
 
 def unchanged(tasks: DataFrame, done: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -102,6 +102,11 @@ def trilingual(units: DataFrame, main: str, comment: str) -> DataFrame:
     return rows.select("doc", "ord", F.concat(F.lit("\\TriPair{"), X.empty(F.col("a")), F.lit("}{"), X.empty(F.col("b")), F.lit("}")).alias("line"))
 
 
+def palette(spark: SparkSession, black: bool = False) -> DataFrame:
+    """(role, color): colours of the roles as hexadecimal numbers, all black for print."""
+    return spark.createDataFrame([(role, "000000" if black else color) for role, color in PALETTE.items()], "role string, color string")
+
+
 def plain(units: DataFrame) -> DataFrame:
     """Units with their plain texts, for searching and checks."""
     return units.withColumn("zh_text", K.surface(F.col("zh"))).withColumn("ja_text", K.lines_text(F.col("ja")))

@@ -76,6 +76,70 @@ def aligned_sources(units: DataFrame, most: int = 3) -> DataFrame:
     return units.withColumn("source_text", F.when(near, F.col("zh_text")).otherwise(F.col("source_text")))
 
 
+def swapped_back(tokens: DataFrame) -> DataFrame:
+    """Rows (t, r, g) with reading and role in their places."""
+    return tokens.withColumn("_x", X.swapped(X.empty(F.col("t")), F.col("r"), F.col("g"))).withColumn("r", F.col("_x.r")).withColumn("g", F.col("_x.g")).drop("_x")
+
+
+def inferred_ja(tokens: DataFrame, keys: list[str]) -> DataFrame:
+    """Japanese tokens without a role: single Chinese characters by their usual one, the particle behind them or an ending that
+    makes a verb, else attributive; particles and what begins with one by the particle."""
+    t = X.empty(F.col("t"))
+    behind = X.empty(F.lead("t").over(W.partitionBy(*keys).orderBy("ord")))
+    starts = lambda c: [(F.startswith(c, F.lit(p)), role) for p, role in R.JA_PARTICLES.items()]
+
+    def first(cases: list, otherwise: Column) -> Column:
+        out = None
+        for test, role in cases:
+            out = F.when(test, role) if out is None else out.when(test, role)
+        return out.otherwise(otherwise)
+
+    usual = [(t.isin(*R.JA_FUNCTION), "function"), (t.isin(*R.JA_ADVERBIAL), "adverbial"), (t.isin(*R.JA_PREDICATE), "predicate")]
+    kanji = first(usual + starts(behind) + [(behind.rlike(R.JA_VERB_ENDING), "predicate")], F.lit("attributive"))
+    kana = first([(t == p, role) for p, role in R.JA_PARTICLES.items()] + starts(t), F.lit(""))
+    plain = (t != "") & ~X.has_han(t) & ~t.rlike(X.PUNCTUATION)
+    new = F.when(X.is_single_han(t), kanji).when(plain, kana).otherwise("")
+    rows = tokens.withColumn("_new", new)
+    return rows.withColumn("g", F.when(X.empty(F.col("g")) == "", F.col("_new")).otherwise(F.col("g"))).drop("_new")
+
+
+# Pipelines. Tokens are rows (keys, lang, line, tok, t, r, g), and what a pipeline gives has the same columns.
+
+
+def _by_line(tokens: DataFrame, keys: list[str], zh, ja) -> DataFrame:
+    """Passes for either language over the lines of tokens, which have their place as ``ord`` meanwhile."""
+    line = [*keys, "lang", "line"]
+    rows = tokens.withColumn("ord", F.col("tok"))
+    return zh(rows.where("lang = 'zh'"), line).unionByName(ja(rows.where("lang = 'ja'"), line)).drop("ord")
+
+
+def normalized(tokens: DataFrame, keys: list[str]) -> DataFrame:
+    """Role names put right, then components: the repair of a chunk that is otherwise sound. Rows have role and syntax besides."""
+    return normal_roles(tokens).transform(synced_components, keys)
+
+
+def backfilled_roles(tokens: DataFrame, keys: list[str]) -> DataFrame:
+    """Missing roles from the words themselves, after readings and roles were exchanged where they had been."""
+    return _by_line(swapped_back(tokens), keys, R.infer_zh, inferred_ja)
+
+
+def mechanical(tokens: DataFrame, keys: list[str]) -> DataFrame:
+    """The repair of a rejected candidate: role names, ruby on single characters, missing roles by the nearest, components, lines of
+    nearly one role dealt anew, and components again. Rows have role and syntax besides."""
+    rows = normal_roles(tokens).transform(normal_ruby, keys).transform(_by_line, keys, R.fill_nearest, R.fill_nearest).transform(synced_components, keys)
+    rows = rows.transform(_by_line, keys, lambda x, line: R.rebalance(x, line, "zh"), lambda x, line: R.rebalance(x, line, "ja"))
+    return rows.transform(synced_components, keys)
+
+
+def compacted(tokens: DataFrame, keys: list[str], targets: DataFrame, readings: DataFrame) -> DataFrame:
+    """The repair of an accepted form: Chinese tokens cut to the length of their target (keys, size), readings from a table, and
+    missing roles."""
+    order = F.struct("line", "tok")
+    zh = cut_tail(tokens.where("lang = 'zh'").withColumn("ord", order), keys, targets).drop("ord")
+    rows = zh.unionByName(tokens.where("lang <> 'zh'"))
+    return backfilled_readings(rows, readings).transform(backfilled_roles, keys)
+
+
 def promoted(outputs: DataFrame, issues: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Outputs with ``state``: reviewed without issues, quarantined with."""
     bad = issues.groupBy(key).agg(F.count("*").alias("errors"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexalign.functions import text as X
 from lexalign.operators import roles as R
-from lexalign.schema import CONTENT, HAN, LINE_ROLES, ROLES
+from lexalign.schema import CONTENT, HAN, LINE_ROLES, PLACEHOLDERS, ROLES
 
 SENTENCE_END = "[。！？!?]"
 
@@ -117,6 +118,27 @@ def repeated_comments(units: DataFrame, keys: list[str], text: str = "ja") -> Da
     return rows.groupBy(*keys, "text").agg(F.count("*").alias("n")).where("n >= 3")
 
 
+def coverage(units: DataFrame, keys: list[str], zh: str = "zh", ja: str = "ja") -> DataFrame:
+    """(keys, units, zh_chars, ja_chars, ratio, empty_units, placeholder_units, short_units, failed): how much of the main text
+    the other language covers."""
+    a, b = F.length(F.col(zh)), F.length(F.col(ja))
+    short = b < F.greatest(F.lit(3), F.floor(a / 8))
+    out = units.groupBy(*keys).agg(F.count("*").alias("units"), F.sum(a).alias("zh_chars"), F.sum(b).alias("ja_chars"), F.count_if(F.col(ja) == "").alias("empty_units"), F.count_if(F.col(ja).isin(*PLACEHOLDERS)).alias("placeholder_units"), F.count_if(short).alias("short_units"))
+    ratio = F.coalesce(F.try_divide("ja_chars", "zh_chars"), F.lit(0.0))
+    failed = (F.col("empty_units") > 0) | (F.col("placeholder_units") > 0) | ((F.col("zh_chars") >= 120) & (ratio < 0.18))
+    return out.select(*keys, "units", "zh_chars", "ja_chars", ratio.alias("ratio"), "empty_units", "placeholder_units", "short_units", failed.alias("failed"))
+
+
+def first_issues(found: DataFrame, keys: list[str], by: list[str], most: int = 80) -> DataFrame:
+    """(keys, issues, omitted): the first ``most`` issues of each key by ``by``, and how many more there are. Issues are numbered
+    before they are gathered, so that no array is longer."""
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(*by))
+    entry = F.struct("_place", *by)
+    rows = found.withColumn("_place", place).groupBy(*keys).agg(F.collect_list(F.when(F.col("_place") <= most, entry)).alias("_all"), F.count("*").alias("_n"))
+    issues = F.transform(F.array_sort("_all"), lambda x: F.struct(*[x[c].alias(c) for c in by]))
+    return rows.select(*keys, issues.alias("issues"), F.greatest(F.col("_n") - most, F.lit(0)).alias("omitted"))
+
+
 def missing_references(chunks: DataFrame) -> DataFrame:
     return issues(chunks, ["chunk_id"], {"C17": F.size("refs") == 0})
 
@@ -128,6 +150,7 @@ def valid(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
 
 def note_unit(zh: Column, ja: Column, source: Column, corrected: Column) -> Column:
     """Whether a unit is nothing but an editor's note."""
+    # How notes begin.
     prefix = r"^(?U)\s*(?:[\[［〔【(（]\s*(?:注|註)?\s*[0-9０-９]+\s*[\]］〕】)）]|[\[［〔【(（]\s*注\s*[0-9０-９]*\s*[\]］〕】)）]|(?:注|註|译注|譯注|注释|註釋|訳注|脚注|注釈|注記)\s*(?:[0-9０-９]+)?\s*[:：\[]?)"
     marked = [X.strip(c).rlike(p) for c in (zh, ja, source, corrected) for p in (prefix, X.SHORT_NOTE)]
     bare = [(X.strip(c) != "") & (X.strip(X.strip_note_references(c)) == "") & (X.strip(zh) == "") for c in (source, corrected)]
@@ -135,7 +158,9 @@ def note_unit(zh: Column, ja: Column, source: Column, corrected: Column) -> Colu
 
 
 def editorial_note(c: Column) -> Column:
+    """Whether a text looks like an editor's note."""
     text = X.compact(c)
+    # Numbered and bracketed notes, and words for them.
     return text.rlike(r"^(?:[（(]?\d+[.．、)]|[［\[]\d+[］\]])") | text.rlike(r"[［\[].{4,}?[］\]]") | text.rlike("译者|译注|注释|注：")
 
 

@@ -33,6 +33,12 @@ def registry() -> tuple[dict, dict, Callable]:
     return queries, sql, query
 
 
+def values(rows: list[tuple]) -> str:
+    """Rows as a list for ``VALUES``."""
+    one = lambda x: "NULL" if x is None else str(x).lower() if isinstance(x, bool) else str(x) if isinstance(x, int | float) else "'" + x.replace("'", "''") + "'"
+    return ", ".join("(" + ", ".join(map(one, r)) + ")" for r in rows)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc, ord, line, lang, source)."""
     docs = table(spark, sf_dir, "documents")

@@ -11,7 +11,6 @@ from lexalign.operators import hierarchy as H
 from lexalign.operators import render as V
 from lexalign.operators import validate as R
 from lexalign.plans.adapt import LINES, lines, paragraphs, registry, table
-from lexalign.schema import PLACEHOLDERS
 
 QUERIES, SQL, query = registry()
 
@@ -27,11 +26,7 @@ SELECT source, CAST(units AS BIGINT) AS units, CAST(zh_chars AS BIGINT) AS zh_ch
 def coverage_by_source(spark, sf_dir):
     """Lines in pairs: how much of a source the second ones cover of the first."""
     rows = lines(spark, sf_dir).groupBy("doc", "source", F.floor(F.col("ord") / 2).alias("u")).agg(X.strip(F.max(F.when(F.col("ord") % 2 == 0, F.col("line")))).alias("zh"), X.strip(F.max(F.when(F.col("ord") % 2 == 1, F.col("line")))).alias("ja"))
-    short = F.length("ja") < F.greatest(F.lit(3), F.floor(F.length("zh") / 8))
-    out = rows.groupBy("source").agg(F.count("*").alias("units"), F.sum(F.length("zh")).alias("zh_chars"), F.sum(F.length("ja")).alias("ja_chars"), F.count_if(F.col("ja") == "").alias("empty_units"), F.count_if(F.col("ja").isin(*PLACEHOLDERS)).alias("placeholder_units"), F.count_if(short).alias("short_units"))
-    ratio = F.coalesce(F.try_divide("ja_chars", "zh_chars"), F.lit(0.0))
-    failed = (F.col("empty_units") > 0) | (F.col("placeholder_units") > 0) | ((F.col("zh_chars") >= 120) & (ratio < 0.18))
-    return out.select("source", "units", "zh_chars", "ja_chars", F.round(ratio, 6).alias("ratio"), "empty_units", "placeholder_units", "short_units", failed.alias("failed"))
+    return R.coverage(rows, ["source"]).withColumn("ratio", F.round("ratio", 6))
 
 
 @query(f"""
@@ -134,11 +129,10 @@ WITH {LINES}
 SELECT doc, CAST(ord AS INTEGER) AS ord, doc || '-chunk-' || lpad(CAST(ord AS VARCHAR), 4, '0') AS chunk_id, sha256(line) AS sha FROM paragraphs""")
 def resplit_roundtrip(spark, sf_dir):
     """Parts joined again: the chunks as they were."""
-    rows, parts = _parts(spark, sf_dir)
-    order = parts.withColumn("at", F.struct("doc", "ord", F.coalesce("split_part", F.lit(0))))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("split_part", F.lit(0)).alias("p"), "text"))), lambda x: x["text"]), "")
-    merged = order.groupBy("doc", "ord", F.coalesce("split_from_chunk_id", "chunk_id").alias("chunk_id")).agg(text.alias("text"))
-    return merged.select("doc", "ord", "chunk_id", F.sha2("text", 256).alias("sha"))
+    _, parts = _parts(spark, sf_dir)
+    order = parts.withColumn("ord", F.col("ord").cast("long") * 1_000_000 + F.coalesce("split_part", F.lit(0)))
+    merged = C.merge_parts(order)
+    return merged.select("doc", F.floor(F.col("ord") / 1_000_000).cast("int").alias("ord"), "chunk_id", F.sha2("text", 256).alias("sha"))
 
 
 @query("""
@@ -219,9 +213,9 @@ def artifact_best_score(spark, sf_dir):
 SELECT source, CAST(len(regexp_extract_all(t, '(?m)^## ')) AS BIGINT) AS chapters, CAST(length(regexp_replace(t, '[#\\s\\-*_>`|]', '', 'g')) AS BIGINT) AS chars
 FROM (SELECT source, string_agg(text, chr(10) ORDER BY doc_id) AS t FROM documents GROUP BY source)""")
 def book_statistics(spark, sf_dir):
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"]), "\n")
-    books = table(spark, sf_dir, "documents").groupBy("source").agg(text.alias("text"))
-    return A.book_text_statistics(books, "source", "text").select("source", F.col("chapters").cast("long").alias("chapters"), F.col("chars").cast("long").alias("chars"))
+    """Headings and characters of a source, added up over its documents."""
+    rows = A.book_text_statistics(table(spark, sf_dir, "documents"), "source", "text")
+    return rows.groupBy("source").agg(F.sum("chapters").cast("long").alias("chapters"), F.sum("chars").cast("long").alias("chars"))
 
 
 @query(f"""

@@ -1,12 +1,14 @@
 import random
 import re
 
+from data_folder import DATA
 from pyspark.sql import functions as F
 
-from lexalign.operators.align import contained, containments
+from lexalign.operators.align import contained, containments, resolve
+from lexalign.operators.ordering import numbered
+from lexalign.operators.progress import admission
 from lexalign.plans import catalog
 
-DATA = "/root/testdata/sf0.001"
 
 
 def test_every_pair_against_brute_force(spark):
@@ -31,5 +33,32 @@ def test_queries_find_all_places(spark):
     bare = lambda x: re.sub(r"\s+", "", x or "")
     texts = [(d.doc_id, bare(d.text)) for d in docs]
     want = sorted((d, i.item_id, t.find(u)) for i in items for u in [bare(i.text)] for d, t in texts if u in t)
-    got = sorted(map(tuple, catalog.QUERIES["reference_containment_all"](spark, DATA).collect()))
+    got = sorted(map(tuple, catalog.QUERIES["reference_containment"](spark, DATA).collect()))
     assert got == want and any(d % 40 != i % 40 for d, i, _ in got)
+
+
+def test_fallbacks_in_order(spark):
+    """The own key if it has references, else the first fallback that has, else the own key."""
+    chunks = spark.createDataFrame([("a", "k1", "t1"), ("b", "k2", "t1"), ("c", "k2", "t2"), ("d", "k2", "t3"), ("e", "", "t1")], "chunk_id string, key string, title string")
+    keys = spark.createDataFrame([("k1",), ("k1",), ("f2",), ("f3",)], "key string")
+    fallbacks = spark.createDataFrame([("t1", 2, "f2"), ("t1", 1, "f3"), ("t1", 0, "f1"), ("t2", 0, "f9")], "title string, prio int, key string")
+    assert {r.chunk_id: r.resolved for r in resolve(chunks, keys, fallbacks).collect()} == {"a": "k1", "b": "f3", "c": "k2", "d": "k2", "e": "f3"}
+
+
+def test_numbers_over_a_whole_table(spark):
+    rng = random.Random(3)
+    values = sorted({rng.randrange(10**rng.randrange(1, 12)) for _ in range(400)})
+    rows = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v long, i int").repartition(5)
+    assert all(r.n == r.i + 1 for r in numbered(rows, "v", "n").collect())
+    assert numbered(rows.limit(0), "v", "n").collect() == [] and [r.n for r in numbered(rows.where("i = 3"), "v", "n").collect()] == [1]
+
+
+def test_admission_takes_the_first(spark):
+    rng = random.Random(2)
+    rows = [(i, f"q{i}", rng.random() < 0.2, rng.random() < 0.2) for i in range(60)]
+    want, running = {}, sum(a and not c for _, _, c, a in rows)
+    for _, name, complete, active in rows:
+        want[name] = "skip" if complete else "active" if active else "start" if running < 20 else "defer"
+        running += want[name] == "start"
+    queue = spark.createDataFrame(rows, "ord int, id string, complete boolean, active boolean").repartition(4)
+    assert {r.id: r.decision for r in admission(queue, 20).collect()} == want

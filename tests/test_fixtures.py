@@ -112,7 +112,7 @@ def test_split_is_lossless(spark):
     assert {r.ord: r.t for r in got} == dict(enumerate(texts)) and max(r.n for r in got) <= 12 + 80
     first = parts.where("split_part = 1").first()
     assert first.chunk_id == first.split_from_chunk_id and first.paragraph_id.endswith("-part-01")
-    order = parts.withColumn("ord", F.col("ord") * 100 + F.coalesce("split_part", F.lit(0)))
+    order = parts.withColumn("ord", F.col("ord") * 100 + F.coalesce("split_part", F.lit(0))).withColumn("doc", F.lit("d"))
     assert {r.chunk_id: r.text for r in C.merge_parts(order).collect()} == {f"c{i}": t for i, t in enumerate(texts)}
 
 
@@ -219,7 +219,9 @@ def test_artifacts(spark):
     got = {r.para_id: (r.sha, r.score) for r in A.upsert(old, new).collect()}
     assert got == {"a": ("x", 5), "b": ("x", 5), "c": ("y", 1), "d": ("x", 1), "e": ("z", 0)}
     names = spark.createDataFrame([(f"b{i}", "o/t.pdf", i) for i in range(3)], "book string, path string, ord int")
-    assert [r.name for r in A.unique_names(names, "path", "book", ["ord"]).orderBy("ord").collect()] == ["o/t.pdf", "o/t - b1.pdf", "o/t - b2-2.pdf"]
+    assert [r.name for r in A.unique_names(names, "path", "book", ["ord"]).orderBy("ord").collect()] == ["o/t.pdf", "o/t - b1.pdf", "o/t - b2.pdf"]
+    names = spark.createDataFrame([("b", "o/t.pdf", i) for i in range(3)], "book string, path string, ord int")
+    assert [r.name for r in A.unique_names(names, "path", "book", ["ord"]).orderBy("ord").collect()] == ["o/t.pdf", "o/t - b.pdf", "o/t - b-2.pdf"]
     units = spark.createDataFrame([("p", [([("天", "tiān", "subject")], [[("て", "", "")]])]), ("q", [])], "para_id string, units array<struct<zh:array<struct<t:string,r:string,g:string>>,ja:array<array<struct<t:string,r:string,g:string>>>>>")
     rows = {r.para_id: r for r in A.features(units, ["para_id"]).withColumn("score", A.score()).collect()}
     assert (rows["p"].zh_ruby, rows["p"].translation, rows["p"].grammar, rows["p"].score) == (True, True, False, 3002) and not rows["q"].translation
