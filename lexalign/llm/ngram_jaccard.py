@@ -2,15 +2,17 @@
 
 A document is its set of distinct shingles; equal sets are one node, so copies meet before any join. Shingles have one
 global order: those that many documents hold come last, by how many, and the rest by hash. If two sets of sizes n and m
-share t shingles, then their first n - t + l and m - t + l ones share at least l. A document's l grows with the estimated
-number of candidates that its prefix brings in. Behind the prefixes a pair can share no more shingles than the longer of
-the two rests holds, so it is verified only if the prefixes share what its two sizes need beyond that: min(l, l') at least,
-and about a fifteenth of the set more if the sizes are equal. Verification intersects the whole sets.
+share t shingles, then their first n - t + l and m - t + l ones share at least l. A document's l is a share of its size that
+grows with the estimated number of candidates that its prefix brings in. So a document takes part only if its prefix shares
+as many shingles as its size demands of any partner, all partners together; that leaves out nearly all that merely have a
+passage in common.
 
 Groups of near copies would give the square of their size in pairs, while components need a spanning tree only. So some
-rounds first tie every document to one pivot of its shingles' lists, which gives clusters. Within a cluster all sets are
-compared with all, in blocks, where each set travels once for each block and only a tree of the links comes back. The full
-join then covers each pair of documents that share enough of their prefixes and lie in different clusters.
+rounds first send every document to the pivot that most of its shingles' lists share, and whole sets are compared there, each
+set travelling once; what they link is one component. Documents that still share enough of their prefixes with other components
+send their whole sets as postings once. Lists within one component go, a document whose rest is less than a link needs goes
+as well, and of each other one only its rarest lists are joined, as many as a partner can't all miss. A pair comes out at the
+first list that it shares, and is compared on whole sets.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexalign.llm.graph import components, roots
@@ -31,70 +34,117 @@ HOT_ENTRIES = 1 << 18
 HOT_SHARE = 1e-3
 #: A shingle is reported as maybe frequent if so many documents of one chunk hold it.
 HOT_IN_CHUNK = 3
-MOST_MATCHES = 8
+#: Percent of a set's size that prefixes are longer by than one match needs: at least, and at most.
+LEAST_LEVEL, MOST_LEVEL = 3, 15
 STAR_ROUNDS = 3
-#: Documents of a block of a cluster.
+#: Documents compared together.
 BLOCK = 512
 
 
-def _nodes(doc: np.ndarray, hashes: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Size and 64-bit identity of each document's set."""
-    n = np.bincount(doc, minlength=n_docs)
-    sums = np.zeros(len(hashes) + 1, U64)
-    np.cumsum(mix(hashes ^ ODD[2]), out=sums[1:])
-    ends = np.cumsum(n)
-    return n, mix((sums[ends] - sums[ends - n]) + n.astype(U64) * ODD[4]).view(np.int64)
+class Sets:
+    """What makes a document's set: the words of a shingle, and the identities that two different sets were found to share."""
 
+    def __init__(self, k: int, clashes: np.ndarray | None = None):
+        self.k, self.clashes = k, clashes if clashes is not None else np.zeros(0, np.int64)
 
-def _sets(k: int):
+    def of(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, shingle) pairs, sorted; and by document the set's size, its identity and a second hash of it."""
+        doc, hashes = shingle_sets(cut_words(data, offsets, BLANKS, True), self.k)
+        n = np.bincount(doc, minlength=len(offsets) - 1)
+        ends = np.cumsum(n)
+
+        def summed(seed: np.uint64) -> np.ndarray:
+            sums = np.zeros(len(hashes) + 1, U64)
+            np.cumsum(mix(hashes ^ seed), out=sums[1:])
+            return mix((sums[ends] - sums[ends - n]) + n.astype(U64) * ODD[4])
+
+        node, check = summed(ODD[2]), summed(ODD[7])
+        if len(self.clashes):
+            again = np.isin(node.view(np.int64), self.clashes)
+            node[again] = mix(node[again] ^ check[again])
+        return doc, hashes, n, node.view(np.int64), check.view(np.int64)
+
+    def distinct(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As :meth:`of` without the last, where each set is that of one document only."""
+        doc, hashes, n, node, _ = self.of(data, offsets)
+        once = np.zeros(len(n), bool)
+        once[np.unique(node, return_index=True)[1]] = True
+        keep = once[doc]
+        return doc[keep], hashes[keep], node
+
+
+def _read_sets(sets: Sets):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n", "node", "check", "token"]
         for batch in batches:
             for part, data, offsets in chunks(batch, "text"):
-                doc, hashes = shingle_sets(cut_words(data, offsets, BLANKS, True), k)
-                n, node = _nodes(doc, hashes, part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, mask=n == 0), pa.nulls(len(n), pa.int64())], names=["doc_id", "n", "node", "token"])
-                _, first = np.unique(node[n > 0], return_index=True)
-                once = np.zeros(part.num_rows, bool)
-                once[np.flatnonzero(n > 0)[first]] = True
+                doc, hashes, n, node, check = sets.of(data, offsets)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, mask=n == 0), pa.array(check), pa.nulls(len(n), pa.int64())], names=names)
+                once = np.zeros(len(n), bool)
+                once[np.unique(node, return_index=True)[1]] = True
                 token, held = np.unique(hashes[once[doc]], return_counts=True)
                 if (many := held >= HOT_IN_CHUNK).any():
-                    yield pa.RecordBatch.from_arrays([pa.nulls(many.sum(), pa.int64()), pa.array(held[many], pa.int64()), pa.nulls(many.sum(), pa.int64()), pa.array(token[many].view(np.int64))], names=["doc_id", "n", "node", "token"])
+                    none = pa.nulls(many.sum(), pa.int64())
+                    yield pa.RecordBatch.from_arrays([none, pa.array(held[many], pa.int64()), none, none, pa.array(token[many].view(np.int64))], names=names)
 
     return run
 
 
-_POSTING = "part int, token long, node long, nl long, pivot long, pivot_nl long, data binary"
-_POSTING_SCHEMA = pa.schema([("part", pa.int32()), ("token", pa.int64()), ("node", pa.int64()), ("nl", pa.int64()), ("pivot", pa.int64()), ("pivot_nl", pa.int64()), ("data", pa.binary())])
+class Hot:
+    """Frequent shingles, in order, and how many documents hold each."""
+
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        order = np.argsort(tokens)
+        self.tokens, self.counts = tokens[order], counts[order]
+
+    def held(self, hashes: np.ndarray) -> np.ndarray:
+        """Count of each shingle, 0 for those that aren't frequent."""
+        if not len(self.tokens):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.tokens, hashes), len(self.tokens) - 1)
+        return np.where(self.tokens[at] == hashes, self.counts[at], 0)
+
+
+#: Postings on their way: frequent shingles' as plain rows, so that no task has a whole list of them, the others' in parcels by
+#: shingle, that hold token, node, nl and component (none in prefixes, where each node is its own).
+_POSTING = "part int, token long, node long, nl long, component long, data binary"
+_POSTING_SCHEMA = pa.schema([("part", pa.int32()), ("token", pa.int64()), ("node", pa.int64()), ("nl", pa.int64()), ("component", pa.int64()), ("data", pa.binary())])
+_PREFIX, _WHOLE = ["u8", "i8", "u4"], ["u8", "i8", "u4", "i8"]
+#: Postings in lists of several components, with the list's size, its commonest component and its pivot; frequent shingles have
+#: none of these yet.
+_LIST = "token long, node long, nl long, component long, size long, major long, pivot long, pivot_nl long"
+_LIST_SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in _LIST.split(", ")])
+
+
+def _rows(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
+    made = {name: x if isinstance(x, pa.Array) else pa.array(x, schema.field(name).type) for name, x in columns.items()}
+    return pa.RecordBatch.from_arrays([made[f.name] if f.name in made else pa.nulls(n, f.type) for f in schema], schema=schema)
+
 
+def _sent(parcels: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    for part, data in parcels:
+        yield _rows(_POSTING_SCHEMA, 1, part=[part], data=[data])
 
-def _posting_rows(n: int, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _POSTING_SCHEMA], schema=_POSTING_SCHEMA)
 
+def _postings(parcels: Parcels, token: np.ndarray, often: np.ndarray, node: np.ndarray, nl: np.ndarray, *component: np.ndarray) -> Iterator[pa.RecordBatch]:
+    cold = ~often
+    yield from _sent(parcels.add((token[cold] % U64(parcels.parts)).astype(np.int64), token[cold], node[cold], nl[cold].astype(np.uint32), *(c[cold] for c in component)))
+    if often.any():
+        own = component[0] if component else node
+        yield _rows(_POSTING_SCHEMA, often.sum(), part=(node[often] & 1023).astype(np.int32), token=token[often].view(np.int64), node=node[often], nl=nl[often], component=own[often])
 
-def _prefixes(k: int, percent: int, hot_tokens: np.ndarray, hot_counts: np.ndarray, parts: int):
-    """Postings of the prefixes: in parcels by shingle, those of frequent shingles as plain rows."""
 
-    def cold(parcels: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        for part, data in parcels:
-            yield _posting_rows(1, part=[part], data=[data])
+def _prefixes(sets: Sets, percent: int, hot: Hot, parts: int):
+    """Postings of the prefixes. ``nl`` has a set's size above four bits, and there the level of its prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parcels = Parcels(["u4", "i8", "u4"], parts)
+        parcels = Parcels(_PREFIX, parts)
         for batch in batches:
-            for part, data, offsets in chunks(batch, "text"):
-                doc, hashes = shingle_sets(cut_words(data, offsets, BLANKS, True), k)
-                n, node = _nodes(doc, hashes, part.num_rows)
-                _, first = np.unique(node, return_index=True)
-                once = np.zeros(len(n), bool)
-                once[first] = True
-                keep = once[doc]
-                doc, hashes = doc[keep], hashes[keep]
+            for _, data, offsets in chunks(batch, "text"):
+                doc, hashes, node = sets.distinct(data, offsets)
                 if not len(doc):
                     continue
-                held = np.zeros(len(hashes), np.int64)
-                if len(hot_tokens):
-                    at = np.minimum(np.searchsorted(hot_tokens, hashes), len(hot_tokens) - 1)
-                    held = np.where(hot_tokens[at] == hashes, hot_counts[at], 0)
+                held = hot.held(hashes)
                 if held.any():
                     order = np.lexsort((hashes, held, doc))
                     doc, hashes, held = doc[order], hashes[order], held[order]
@@ -104,73 +154,91 @@ def _prefixes(k: int, percent: int, hot_tokens: np.ndarray, hot_counts: np.ndarr
                 least = (percent * size + 99) // 100
                 base = size - least + 1
                 cost = np.add.reduceat(np.where(rank < np.repeat(base, size), np.maximum(held, 1), 0), begin) / base
-                matches = np.minimum(np.minimum(1 + np.floor(np.log2(np.maximum(cost, 1))).astype(np.int64), MOST_MATCHES), least)
+                level = np.minimum(LEAST_LEVEL + np.floor(np.log2(np.maximum(cost, 1))).astype(np.int64), MOST_LEVEL)
+                matches = np.minimum(1 + size * level // 100, least)
                 take = rank < np.repeat(base - 1 + matches, size)
-                nl = np.repeat(size * 16 + matches, size)[take]
-                token, owner, often = hashes[take], node[doc[take]], held[take] > 0
-                yield from cold(parcels.add((token[~often] % U64(parts)).astype(np.int64), (token[~often] >> U64(32)).astype(np.uint32), owner[~often], nl[~often].astype(np.uint32)))
-                if often.any():
-                    yield _posting_rows(often.sum(), part=(owner[often] & 1023).astype(np.int32), token=token[often].view(np.int64), node=owner[often], nl=nl[often])
-        yield from cold(parcels.flush())
+                yield from _postings(parcels, hashes[take], held[take] > 0, node[doc[take]], np.repeat(size * 16 + level, size)[take])
+        yield from _sent(parcels.flush())
 
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings of shingles that several nodes have in their prefixes, with the smallest node as pivot."""
-    blobs: dict[int, list[bytes]] = {}
-    for batch in batches:
-        if batch.column("node").null_count < batch.num_rows:
-            yield batch.filter(batch.column("node").is_valid())
-        for part, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist(), strict=True):
-            if data is not None:
-                blobs.setdefault(part, []).append(data)
-    read = Parcels(["u4", "i8", "u4"], 1).read
-    while blobs:
-        part, mine = blobs.popitem()
-        rows = read(mine)
-        rows = rows[np.lexsort((rows["f1"], rows["f0"]))]
-        new = np.append(True, (rows["f0"][1:] != rows["f0"][:-1]) | (rows["f1"][1:] != rows["f1"][:-1]))
-        rows = rows[new]
-        begin = np.flatnonzero(np.append(True, rows["f0"][1:] != rows["f0"][:-1]))
-        size = np.diff(np.append(begin, len(rows)))
-        lead = np.repeat(begin, size)[np.repeat(size > 1, size)]
-        rows, pivot = rows[np.repeat(size > 1, size)], rows[lead]
-        # a frequent shingle's token is a whole hash; these have the place of their parcel above 32 bits
-        yield _posting_rows(len(rows), part=np.zeros(len(rows), np.int32), token=rows["f0"].astype(np.int64) + (np.int64(part) << 32), node=rows["f1"], nl=rows["f2"].astype(np.int64), pivot=pivot["f1"], pivot_nl=pivot["f2"].astype(np.int64))
-
-
-def _set_blobs(k: int):
+def _whole(sets: Sets, hot: Hot, parts: int):
+    """Postings of whole sets of rows (text, node, component)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parcels = Parcels(_WHOLE, parts)
         for batch in batches:
             for part, data, offsets in chunks(batch, "text"):
-                doc, hashes = shingle_sets(cut_words(data, offsets, BLANKS, True), k)
-                n, node = _nodes(doc, hashes, part.num_rows)
-                ends = np.cumsum(n)
-                raw = hashes.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array([raw[8 * (e - c) : 8 * e] for e, c in zip(ends.tolist(), n.tolist(), strict=True)], pa.binary())], names=["node", "data"])
+                doc, hashes, n, node, _ = sets.of(data, offsets)
+                mine = node == np.asarray(part.column("node"))  # another text of the same doc_id has another node
+                keep = mine[doc]
+                doc, hashes = doc[keep], hashes[keep]
+                if len(doc):
+                    yield from _postings(parcels, hashes, hot.held(hashes) > 0, node[doc], n[doc] * 16, np.asarray(part.column("component"))[doc])
+        yield from _sent(parcels.flush())
+
+    return run
+
+
+def _open(kind: list[str]):
+    """Lists of shingles that several components have; postings of frequent shingles as they come."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs: dict[int, list[bytes]] = {}
+        for batch in batches:
+            if batch.column("node").null_count < batch.num_rows:
+                some = batch.filter(batch.column("node").is_valid())
+                yield _rows(_LIST_SCHEMA, some.num_rows, **{c: some.column(c) for c in ("token", "node", "nl", "component")})
+            for part, data in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                if data is not None:
+                    blobs.setdefault(part, []).append(data)
+        read = Parcels(kind, 1).read
+        while blobs:
+            _, mine = blobs.popitem()
+            rows = read(mine)
+            del mine
+            token, node, nl = rows["f0"], rows["f1"], rows["f2"].astype(np.int64)
+            component = rows["f3"] if "f3" in rows.dtype.names else node
+            order = np.lexsort((node, component, token))
+            token, node, nl, component = token[order], node[order], nl[order], component[order]
+            new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]))
+            token, node, nl, component = token[new], node[new], nl[new], component[new]
+            # runs of a component within a list, then lists
+            run_at = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (component[1:] != component[:-1])))
+            run_size = np.diff(np.append(run_at, len(token)))
+            list_at = np.flatnonzero(np.append(True, token[run_at][1:] != token[run_at][:-1]))
+            runs = np.diff(np.append(list_at, len(run_at)))
+            size = np.add.reduceat(run_size, list_at)
+            first = np.lexsort((run_at, -run_size, np.repeat(np.arange(len(list_at)), runs)))[list_at]
+            major = component[run_at[first]]
+            owner = np.repeat(np.arange(len(list_at)), size)
+            pivot = np.lexsort((mix(node.view(U64) ^ ODD[11]), owner))[np.cumsum(size) - size]
+            keep = np.repeat(runs > 1, size)
+            owner = owner[keep]
+            yield _rows(_LIST_SCHEMA, len(owner), token=token[keep].view(np.int64), node=node[keep], nl=nl[keep], component=component[keep], size=size[owner], major=major[owner], pivot=node[pivot[owner]], pivot_nl=nl[pivot[owner]])
 
     return run
 
 
-def _placed_sets(k: int):
-    """A row for each task of a document's set: (cluster, i, j, block, node, data)."""
+def _placed_sets(sets: Sets):
+    """A row for each task of a document's set: (center, block, node, data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in chunks(batch, "text"):
-                doc, hashes = shingle_sets(cut_words(data, offsets, BLANKS, True), k)
-                n, node = _nodes(doc, hashes, part.num_rows)
+                _, hashes, n, node, _ = sets.of(data, offsets)
                 ends = np.cumsum(n)
                 raw = hashes.tobytes()
                 tasks = part.column("tasks")
-                count = np.asarray(tasks.value_lengths())
-                owner = np.repeat(np.arange(part.num_rows), count)
+                owner = np.repeat(np.arange(part.num_rows), np.asarray(tasks.value_lengths()))
                 flat = tasks.flatten()
-                mine = np.asarray(flat.field("node")) == node[owner]  # another text of the same doc_id has another node
+                mine = np.asarray(flat.field("node")) == node[owner]
                 owner, flat = owner[mine], flat.filter(pa.array(mine))
-                blobs = [raw[8 * (ends[o] - n[o]) : 8 * ends[o]] for o in owner]
-                yield pa.RecordBatch.from_arrays([*(flat.field(c) for c in ("cluster", "i", "j", "block", "node")), pa.array(blobs, pa.binary())], names=["cluster", "i", "j", "block", "node", "data"])
+                for at in range(0, len(owner), 1000):
+                    some, rows = owner[at : at + 1000], flat.slice(at, 1000)
+                    blobs = pa.array([raw[8 * (ends[o] - n[o]) : 8 * ends[o]] for o in some], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*(rows.field(c) for c in ("center", "block", "node")), blobs], names=["center", "block", "node", "data"])
 
     return run
 
@@ -200,34 +268,28 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _compare_tasks(percent: int):
+def _compare(percent: int):
     """Trees of the links within each task, as (a, b). Rows come sorted by task; the last of a batch waits for the next."""
 
     def tasks(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        keys = [np.asarray(table[c]) for c in ("cluster", "i", "j")]
-        node, block = np.asarray(table["node"]), np.asarray(table["block"])
+        center, block, node = (np.asarray(table[c]) for c in ("center", "block", "node"))
         blobs = table["data"].combine_chunks()
-        new = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))
-        starts = np.flatnonzero(new)
-        a, b = [], []
-        for begin, end in zip(starts, np.append(starts[1:], len(new)), strict=True):
-            _, first = np.unique(node[begin:end], return_index=True)
-            rows = begin + first
+        starts = np.flatnonzero(np.append(True, (center[1:] != center[:-1]) | (block[1:] != block[:-1])))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for begin, end in zip(starts, np.append(starts[1:], len(node)), strict=True):
+            rows = begin + np.unique(node[begin:end], return_index=True)[1]
             if len(rows) < 2:
                 continue
-            sets = [np.frombuffer(blobs[int(r)].as_buffer(), U64) for r in rows]
-            size = np.array([len(x) for x in sets])
-            both = _overlaps(sets)
+            held = [np.frombuffer(blobs[int(r)].as_buffer(), U64) for r in rows]
+            size = np.array([len(x) for x in held])
+            both = _overlaps(held)
             linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-            if keys[1][begin] != keys[2][begin]:
-                linked &= block[rows][:, None] != block[rows][None, :]
             np.fill_diagonal(linked, False)
             root = roots(linked)
             tied = np.flatnonzero(root != np.arange(len(root)))
             a.append(node[rows[root[tied]]])
             b.append(node[rows[tied]])
-        join = lambda x: pa.array(np.concatenate(x) if x else [], pa.int64())
-        yield pa.RecordBatch.from_arrays([join(a), join(b)], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -235,8 +297,8 @@ def _compare_tasks(percent: int):
             if not batch.num_rows:
                 continue
             whole = pa.Table.from_batches([*held, batch])
-            keys = [np.asarray(whole[c]) for c in ("cluster", "i", "j")]
-            last = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0))
+            center, block = np.asarray(whole["center"]), np.asarray(whole["block"])
+            last = np.flatnonzero((center != center[-1]) | (block != block[-1]))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
                 yield from tasks(whole.slice(0, cut))
@@ -247,123 +309,175 @@ def _compare_tasks(percent: int):
     return run
 
 
-def _verify(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("data_a"), batch.column("data_b"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                both = int((x[at] == y).sum())
-                good[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good))
-
-    return run
-
-
 class Join:
     """One run over a table of documents; ``result`` is lazy, the rest is written as it goes."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, k: int, percent: int):
-        self.spark, self.k, self.percent = spark, k, percent
+        self.spark, self.percent = spark, percent
         self.scratch = Scratch(spark, "jaccard")
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        table = self.scratch.cut(self.docs.mapInArrow(_read_sets(Sets(k)), "doc_id long, n long, node long, check long, token long"))
+        rows = table.where("token IS NULL").drop("token")
+        # two sets of one identity: some in ten thousand million documents, so the driver can hold them
+        clashes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("check").alias("a"), F.max("check").alias("b")).where("a <> b").select("node").toArrow()["node"]
+        self.sets = Sets(k, np.asarray(clashes))
+        if len(clashes):
+            rows = self.scratch.cut(self.docs.mapInArrow(_read_sets(self.sets), "doc_id long, n long, node long, check long, token long")).where("token IS NULL").drop("token")
+        self.table = rows.drop("check")
+        self.holders = self.table.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+        count, total = self.table.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        share = max(HOT_SHARE, total / max(1, count) / HOT_ENTRIES)
+        hot = table.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2 * HOT_IN_CHUNK, share * count)).toArrow()
+        self.hot = Hot(np.asarray(hot["token"]).view(np.uint64), np.asarray(hot["n"]))
+
+    def least(self, n: Column) -> Column:
+        """Shingles that a set of ``n`` shares with any it is linked with."""
+        return F.floor((n * self.percent + 99) / 100)
 
-    def compatible(self, x: str, y: str):
+    def compatible(self, x: Column, y: Column) -> Column:
         """Sizes that allow the similarity."""
         x, y = F.shiftright(x, 4), F.shiftright(y, 4)
         return 100 * F.least(x, y) >= self.percent * F.greatest(x, y)
 
-    def needed(self, x: str, y: str):
-        """Shingles that two prefixes must share. One less counts too, lest two shingles of a document fell on one token."""
-        size = lambda c: F.shiftright(c, 4)
-        rest = lambda c: F.expr(f"({self.percent} * shiftright({c}, 4) + 99) div 100 - ({c} & 15)")
-        whole = F.ceil((size(x) + size(y)) * self.percent / (100 + self.percent) - 1e-6)
-        return F.greatest(F.lit(1), whole - F.greatest(rest(x), rest(y)) - 1)
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of nodes whose whole sets are similar enough."""
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        where = self.scratch.cut(nodes.join(self.holders, "node").select("doc_id").distinct())
-        sets = self.scratch.cut(self.docs.join(maybe_broadcast(where, 24), "doc_id").select("text").mapInArrow(_set_blobs(self.k), "node long, data binary"))
-        side = lambda name: sets.select(F.col("node").alias(name), F.col("data").alias(f"data_{name}"))
-        out = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "data_a", "data_b").mapInArrow(_verify(self.percent), "a long, b long")
-        out = self.scratch.cut(out)
-        self.scratch.drop(where, sets)
-        return out
+    def matches(self, nl: Column) -> Column:
+        """By how much a prefix is longer than a single match needs, and one."""
+        n = F.shiftright(nl, 4)
+        return F.least(1 + F.floor(n * nl.bitwiseAND(15) / 100), self.least(n))
 
-    def within(self, clusters: DataFrame) -> DataFrame:
-        """Trees of the links within each of ``clusters`` (node, component)."""
-        sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
-        members = clusters.join(sizes, "component").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-        members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        other = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.col("component").alias("cluster"), F.least("block", x).alias("i"), F.greatest("block", x).alias("j"), F.col("block"), F.col("node")))
-        plan = members.withColumn("tasks", other).join(self.holders, "node").groupBy("doc_id").agg(F.flatten(F.collect_list("tasks")).alias("tasks"))
-        plan = self.scratch.cut(plan)
-        size = plan.agg(F.coalesce(F.sum(F.size("tasks") * 48 + 24), F.lit(0))).first()[0]
-        docs = self.docs.join(maybe_broadcast(plan, -(-size // max(1, plan.count()))), "doc_id").select("text", "tasks")
-        rows = docs.mapInArrow(_placed_sets(self.k), "cluster long, i int, j int, block int, node long, data binary")
-        task = ["cluster", "i", "j"]
-        rows = rows.repartition(partitions(self.spark), *task).sortWithinPartitions(*task)
-        out = self.scratch.cut(rows.mapInArrow(_compare_tasks(self.percent), "a long, b long"))
-        self.scratch.drop(plan)
-        return out
+    def needed(self, x: Column, y: Column) -> Column:
+        """Shingles that two prefixes must share."""
+        rest = lambda c: self.least(F.shiftright(c, 4)) - self.matches(c)
+        whole = F.ceil((F.shiftright(x, 4) + F.shiftright(y, 4)) * self.percent / (100 + self.percent) - 1e-6)
+        return F.greatest(F.lit(1), whole - F.greatest(rest(x), rest(y)))
+
+    def demanded(self, nl: Column) -> Column:
+        """Shingles that a prefix shares with that of any partner: matches of the one whose rest is longer, at least those of the
+        smallest set of a compatible size."""
+        smallest = self.least(F.shiftright(nl, 4))
+        return F.greatest(F.lit(1), F.least(1 + F.floor(smallest * LEAST_LEVEL / 100), self.least(smallest)))
 
     def links(self) -> DataFrame:
         """Links between nodes that connect what the whole graph of links connects."""
         spark, scratch = self.spark, self.scratch
-        table = scratch.cut(self.docs.mapInArrow(_sets(self.k), "doc_id long, n long, node long, token long"))
-        self.table = table.where("token IS NULL").drop("token")
-        self.holders = self.table.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-        count, total = self.table.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-        share = max(HOT_SHARE, total / max(1, count) / HOT_ENTRIES)
-        hot = table.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2 * HOT_IN_CHUNK, share * count)).toArrow()
-        tokens, counts = np.asarray(hot["token"]).view(np.uint64), np.asarray(hot["n"])
-        order = np.argsort(tokens)
-        parts = partitions(spark)
-        postings = self.docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_prefixes(self.k, self.percent, tokens[order], counts[order], parts), _POSTING)
-        shared = scratch.cut(postings.repartition(parts, "part").mapInArrow(_shared, _POSTING).drop("part", "data"))
-        cold = shared.where("pivot IS NOT NULL").select("token", "node", "nl")
-        # whole hashes and places of parcels lie in one column: the flag keeps them apart
-        often = shared.where("pivot IS NULL").select("token", "node", "nl").distinct()
-        lists = cold.withColumn("often", F.lit(False)).unionByName(often.withColumn("often", F.lit(True)))
-        lists = lists.withColumn("component", F.col("node"))
-        ties, known = None, None
-        for turn in range(STAR_ROUNDS + 1):
-            if known is not None:
-                lists = lists.drop("component").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            per = lists.groupBy("often", "token", "component").agg(F.count("*").alias("c"))
-            per = per.groupBy("often", "token").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same")).where(F.col("all") * F.col("all") > F.col("same"))
-            open_ = scratch.cut(per)
-            lists = scratch.cut(lists.join(open_.select("often", "token"), ["often", "token"]))
-            pairs, rows = open_.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2), F.lit(0)), F.coalesce(F.sum("all"), F.lit(0))).first()
-            if turn == STAR_ROUNDS or turn and pairs <= rows / 2:
+        lists = self._lists(self.docs.where("doc_id IS NOT NULL").select("text").mapInArrow(_prefixes(self.sets, self.percent, self.hot, partitions(spark)), _POSTING), _PREFIX)
+        cold = lists.where("size IS NOT NULL").select("token", "node", "nl", "pivot", "pivot_nl")
+        hot = lists.where("size IS NULL").select("token", "node", "nl").distinct()
+        votes = cold.unionByName(hot.join(self._pivots(hot.withColumn("component", F.col("node")), 0).drop("pivot_component"), "token"))
+        nodes = scratch.cut(self._ballot(votes).where(F.col("shared") >= self.demanded(F.col("nl"))))
+        if not nodes.limit(1).count():
+            return spark.createDataFrame([], "a long, b long")
+        alive = maybe_broadcast(nodes.select("node"), 16)
+        before, lists = lists, scratch.cut(cold.select("token", "node", "nl").unionByName(hot).join(alive, "node", "left_semi"))
+        scratch.drop(before)
+        found, known = [], None
+        for turn in range(STAR_ROUNDS):
+            if turn:
+                pivots = self._pivots(lists, turn)
+                votes = lists.join(pivots.where("pivot_component IS NOT NULL"), "token").where("component <> pivot_component")
+                nodes = self._ballot(votes)
+            ties = self.compared(scratch.cut(self._ties(nodes)))
+            if not ties.limit(1).count():
                 break
-            found = scratch.cut(self._star(lists, turn))
-            ties = found if ties is None else scratch.cut(ties.unionByName(found))
-            known = scratch.cut(components(spark, ties, scratch))
-        inside = self.within(known)
-        return inside.unionByName(self.verified(scratch.cut(self._all(lists))))
-
-    def _star(self, lists: DataFrame, turn: int) -> DataFrame:
-        """For each node the pivot that most of its lists share, if it lies in another cluster. Which clusters come out changes
-        the work and not the result."""
+            found.append(ties)
+            known = scratch.cut(components(spark, _union(found), scratch))
+            before = lists
+            lists = lists.drop("component").join(maybe_broadcast(known, 24), "node", "left").withColumn("component", F.coalesce("component", "node"))
+            still = lists.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
+            lists = scratch.cut(lists.join(still, "token", "left_semi"))
+            scratch.drop(before)
+        if known is None:
+            lists = lists.withColumn("component", F.col("node"))
+        alive = lists.groupBy("node").agg(F.count("*").alias("shared"), F.first("nl").alias("nl"), F.first("component").alias("component"))
+        alive = scratch.cut(alive.where(F.col("shared") >= self.demanded(F.col("nl"))).join(self.holders, "node").select("doc_id", "node", "component"))
+        scratch.drop(lists)
+        return _union([*found, *self._rest(alive)])
+
+    def _lists(self, postings: DataFrame, kind: list[str]) -> DataFrame:
+        return self.scratch.cut(postings.repartition(partitions(self.spark), "part").mapInArrow(_open(kind), _LIST))
+
+    def _pivots(self, lists: DataFrame, turn: int) -> DataFrame:
+        """(token, pivot, pivot_nl, pivot_component) of each list: one of its nodes, another in each turn."""
         by = F.xxhash64("node", F.lit(turn))
-        pivots = lists.groupBy("often", "token").agg(F.min_by(F.struct("node", "nl", "component"), by).alias("pivot"))
-        pairs = lists.join(pivots, ["often", "token"]).where((F.col("component") != F.col("pivot.component")) & self.compatible("nl", "pivot.nl"))
-        pairs = pairs.groupBy("node", F.col("pivot.node").alias("pivot")).agg(F.count("*").alias("c"), F.first("nl").alias("nl"), F.first("pivot.nl").alias("pivot_nl"))
-        best = pairs.groupBy("node").agg(F.max(F.struct("c", "pivot", F.col("pivot_nl").alias("nl"))).alias("best"), F.first("nl").alias("nl"))
-        best = best.select(F.col("best.pivot").alias("a"), F.col("node").alias("b"), "nl", F.col("best.nl").alias("nl_a"), F.col("best.c").alias("c"))
-        # half of what a link needs, as only the lists are counted whose pivot it is
-        return best.where(2 * F.col("c") >= self.needed("nl", "nl_a")).select("a", "b")
-
-    def _all(self, lists: DataFrame) -> DataFrame:
-        """All pairs of different components that share enough of their prefixes."""
-        x = lists.select("often", "token", F.col("node").alias("a"), F.col("nl").alias("nl_a"), F.col("component").alias("c_a"))
-        y = lists.select("often", "token", F.col("node").alias("b"), F.col("nl").alias("nl_b"), F.col("component").alias("c_b"))
-        pairs = x.join(y, ["often", "token"]).where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & self.compatible("nl_a", "nl_b"))
-        pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("nl_a").alias("nl_a"), F.first("nl_b").alias("nl_b"))
-        return pairs.where(F.col("c") >= self.needed("nl_a", "nl_b")).select("a", "b")
+        pivots = lists.groupBy("token").agg(F.min_by(F.struct("node", "nl", "component"), by).alias("p"))
+        return pivots.select("token", F.col("p.node").alias("pivot"), F.col("p.nl").alias("pivot_nl"), F.col("p.component").alias("pivot_component"))
+
+    def _ballot(self, votes: DataFrame) -> DataFrame:
+        """(node, nl, shared, best) of postings with their lists' pivots: in how many lists a node is, and the other node that is
+        the pivot of most of them. Which pivots come out changes the work and not the result."""
+        votes = votes.select("node", "nl", "pivot", "pivot_nl").repartition(partitions(self.spark), "node")
+        pairs = votes.groupBy("node", "pivot").agg(F.count("*").alias("c"), F.first("nl").alias("nl"), F.first("pivot_nl").alias("pivot_nl"))
+        other = F.when((F.col("node") != F.col("pivot")) & self.compatible(F.col("nl"), F.col("pivot_nl")), F.struct("c", "pivot", "pivot_nl"))
+        return pairs.groupBy("node").agg(F.first("nl").alias("nl"), F.sum("c").alias("shared"), F.max(other).alias("best"))
+
+    def _ties(self, nodes: DataFrame) -> DataFrame:
+        """(center, member): nodes and their best pivots, where half of what a link needs is there, as only the lists are counted
+        whose pivot it is."""
+        good = 2 * F.col("best.c") >= self.needed(F.col("nl"), F.col("best.pivot_nl"))
+        return nodes.where(good).select(F.col("best.pivot").alias("center"), F.col("node").alias("member"))
+
+    def _rest(self, alive: DataFrame) -> list[DataFrame]:
+        """Links between components, by the whole sets of the nodes ``alive`` (doc_id, node, component)."""
+        least = self.least(F.shiftright("nl", 4))
+        docs = self.docs.join(maybe_broadcast(alive, 40), "doc_id").select("text", "node", "component")
+        lists = self._lists(docs.mapInArrow(_whole(self.sets, self.hot, partitions(self.spark)), _POSTING), _WHOLE)
+        self.scratch.drop(alive)
+        hot = lists.where("size IS NULL").select("token", "node", "nl", "component")
+        per = hot.groupBy("token", "component").agg(F.count("*").alias("c")).groupBy("token")
+        per = per.agg(F.sum("c").alias("size"), F.count("*").alias("components"), F.max_by("component", F.struct("c", "component")).alias("major"))
+        columns = ["token", "node", "nl", "component", "size", "major"]
+        whole = lists.where("size IS NOT NULL").select(*columns).unionByName(hot.join(per.where("components > 1"), "token").select(*columns))
+        # a node with too few shared shingles goes; of the others the rarest lists are joined, as many as a partner can't all miss
+        own = W.partitionBy("node")
+        rarest = own.orderBy("size", "token")
+        whole = whole.repartition(partitions(self.spark), "node").withColumn("shared", F.count("*").over(own)).where(F.col("shared") >= least)
+        prefix = whole.withColumn("rank", F.row_number().over(rarest)).where(F.col("rank") <= F.col("shared") - least + 1)
+        prefix = prefix.withColumn("before", F.collect_list("token").over(rarest.rowsBetween(W.unboundedPreceding, -1)))
+        prefix = self.scratch.cut(prefix.select("token", "node", "nl", "component", "major", "before"))
+        self.scratch.drop(lists)
+        side = lambda x: prefix.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "nl", "component", "before")], *(["major"] if x == "a" else []))
+        # of each pair one node at least lies outside the list's commonest component
+        once = (F.col("component_b") == F.col("major")) | (F.col("node_a") < F.col("node_b"))
+        pairs = side("a").where("component_a <> major").join(side("b"), "token")
+        pairs = pairs.where((F.col("component_a") != F.col("component_b")) & once & self.compatible(F.col("nl_a"), F.col("nl_b")) & ~F.arrays_overlap("before_a", "before_b"))
+        pairs = self.scratch.cut(pairs.select(F.greatest("node_a", "node_b").alias("center"), F.least("node_a", "node_b").alias("member")).distinct())
+        self.scratch.drop(prefix)
+        return self._settled(pairs)
+
+    def _settled(self, pairs: DataFrame) -> list[DataFrame]:
+        """Links that connect what those of ``pairs`` (center, member) do. Where nodes have many pairs each, every member first
+        meets one of its centers, the same one for as many as can be, and pairs within what that links need no comparison."""
+        scratch, found = self.scratch, []
+        for turn in range(STAR_ROUNDS):
+            nodes = pairs.select(F.explode(F.array("center", "member")).alias("node")).distinct().count()
+            if pairs.count() <= 2 * nodes:
+                break
+            one = pairs.groupBy("member").agg(F.min_by("center", F.xxhash64("center", F.lit(turn))).alias("center"))
+            links = self.compared(scratch.cut(one.select("center", "member")))
+            if not links.limit(1).count():
+                break
+            found.append(links)
+            known = scratch.cut(components(self.spark, _union(found), scratch))
+            side = lambda name, known=known: maybe_broadcast(known, 24).select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
+            apart = F.coalesce("of_center", "center") != F.coalesce("of_member", "member")
+            before, pairs = pairs, scratch.cut(pairs.join(side("center"), "center", "left").join(side("member"), "member", "left").where(apart).select("center", "member"))
+            scratch.drop(before, known)
+        return [*found, self.compared(pairs)]
+
+    def compared(self, stars: DataFrame) -> DataFrame:
+        """Links (a, b) among centers and members of ``stars`` (center, member), a written table: each center meets its members in
+        blocks, so that a member's set travels once for each of its centers."""
+        sizes = stars.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        members = stars.join(sizes, "center").select("center", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block"), F.col("member").alias("node"))
+        centers = sizes.select("center", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("center").alias("node"))
+        plan = members.unionByName(centers).join(self.holders, "node").groupBy("doc_id").agg(F.collect_list(F.struct("center", "block", "node")).alias("tasks"))
+        plan = self.scratch.cut(plan)
+        size = plan.agg(F.coalesce(F.sum(F.size("tasks") * 32 + 24), F.lit(0))).first()[0]
+        docs = self.docs.join(maybe_broadcast(plan, -(-size // max(1, plan.count()))), "doc_id").select("text", "tasks")
+        rows = docs.mapInArrow(_placed_sets(self.sets), "center long, block int, node long, data binary")
+        rows = rows.repartition(partitions(self.spark), "center", "block").sortWithinPartitions("center", "block")
+        out = self.scratch.cut(rows.mapInArrow(_compare(self.percent), "a long, b long"))
+        self.scratch.drop(plan, stars)
+        return out
 
     def result(self) -> DataFrame:
         links = self.scratch.cut(self.links())
@@ -371,8 +485,14 @@ class Join:
         rows = self.table.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
         low = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("low"), F.count("*").alias("size")).where("size > 1")
         low = self.scratch.cut(low)
-        alone = F.col("doc_id")
-        return rows.join(low, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("low", alone).alias("component_id"))
+        return rows.join(low, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("low", "doc_id").alias("component_id"))
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -1,8 +1,12 @@
 import random
 import re
 
+import numpy as np
+
+import lexalign.llm.ngram_jaccard
+import lexalign.llm.storage
 from lexalign.llm.graph import components
-from lexalign.llm.ngram_jaccard import deduplicate, near_duplicates
+from lexalign.llm.ngram_jaccard import Join, Sets, deduplicate, near_duplicates
 from lexalign.llm.storage import Scratch
 
 
@@ -53,6 +57,59 @@ def test_chains_and_hot_groups(spark):
     assert sorted(map(tuple, near_duplicates(spark, docs, 4, 85).collect()), key=str) == brute(docs.collect(), 4, 85)
 
 
+def test_shuffled_joins_and_small_blocks(spark, documents, monkeypatch):
+    """The ways beyond the limits."""
+    monkeypatch.setattr(lexalign.llm.storage, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(lexalign.llm.ngram_jaccard, "BLOCK", 2)
+    assert sorted(map(tuple, near_duplicates(spark, documents, 4, 85).collect()), key=str) == brute(documents.collect(), 4, 85)
+
+
+def test_clashing_identities_are_told_apart():
+    texts = [b"a b c d", b"e f g h", b"a b c d", b"e f g h i"]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    node = Sets(4).of(data, offsets)[3]
+    assert node[0] == node[2] and len(set(node.tolist())) == 3
+    again = Sets(4, node[:1]).of(data, offsets)[3]
+    assert again[0] == again[2] != node[0] and (again[[1, 3]] == node[[1, 3]]).all()
+
+
+def test_settled_pairs_connect_what_all_links_connect(spark):
+    """A dense graph of candidates of which some are links: rounds first, the rest at once."""
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(80)]
+    rows = [(i, " ".join(w if rng.random() > 0.02 * (i % 4) else f"x{rng.randrange(10**6)}" for w in base)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    join = Join(spark, docs, 2, 85)
+    nodes = [r.node for r in join.holders.collect()]
+    every = [(max(a, b), min(a, b)) for i, a in enumerate(nodes) for b in nodes[:i]]
+    pairs = join.scratch.cut(spark.createDataFrame(every, "center long, member long"))
+    links = join._settled(pairs)
+    assert len(links) > 1
+    whole = links[0]
+    for x in links[1:]:
+        whole = whole.unionByName(x)
+    known = dict(components(spark, whole, join.scratch).collect())
+    doc = {r.node: r.doc_id for r in join.holders.collect()}
+    low = {}
+    for n in nodes:
+        low[known.get(n, n)] = min(low.get(known.get(n, n), doc[n]), doc[n])
+    want = {i: c for i, _, c in brute(docs.collect(), 2, 85)}
+    assert {doc[n]: low[known.get(n, n)] for n in nodes} == {doc[n]: want[doc[n]] for n in nodes}
+
+
+def test_boilerplate_and_a_very_long_text(spark):
+    """Documents that share most of a template, but not enough; a chain of passages; a text of many shingles beside them."""
+    rng = random.Random(12)
+    template = [f"t{i}" for i in range(100)]
+    rows = [(i, " ".join([*template, *(f"x{rng.randrange(10**6)}" for _ in range(rng.randrange(20, 60)))])) for i in range(120)]
+    passages = [" ".join(f"p{j}q{i}" for i in range(40)) for j in range(30)]
+    rows += [(500 + j, f"{passages[j]} {passages[j + 1]}") for j in range(29)]
+    long = [f"l{rng.randrange(10**7)}" for _ in range(60_000)]
+    rows += [(900, " ".join(long)), (901, " ".join([*long[:59_000], "end"])), (902, " ".join(long[20_000:])), (903, " ".join([*long[:30_000], *template]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, near_duplicates(spark, docs, 4, 85).collect()), key=str) == brute(docs.collect(), 4, 85)
+
+
 def test_deduplicate_keeps_one_of_each_group(spark, documents):
     kept = deduplicate(spark, documents)
     assert kept.columns == documents.columns
