@@ -1,13 +1,16 @@
-"""Substring dedup: relative Lempel-Ziv factors of long repeated passages.
+"""Substring dedup by relative Lempel-Ziv parsing of words.
 
-A document is parsed against an index of every reference block. Blocks are cut where the content says so: each window of
+The reference is the collection itself, as an index of blocks. Blocks are cut where the content says so: each window of
 ``length`` consecutive words has an anchor, its smallest gram of ``gram`` words (the leftmost, if equal), and the windows
-that follow each other with one anchor form a block. Equal passages have equal blocks inside, so a factor is a greedy run
-of blocks that the index holds from elsewhere. At a factor's boundaries the blocks differ though their anchor is known;
-there every single window is looked up. So a word goes exactly if a window over it starts anywhere else as well.
+that follow each other with one anchor form a block. Equal passages have equal blocks inside, so looking blocks up by hash
+finds where a passage also stands: its source, one place in one document for each block. At a passage's ends the blocks
+differ though their anchor is known; there every single window is looked up. A document is then parsed from left to right:
+at each place it takes the longest factor, which is the longest run of windows that one source has in the same order. The
+words of all factors of ``length`` words or more go; a source is a factor of its copy in turn.
 
 Nothing is gathered by key without bound: within a chunk of documents, equal blocks and windows settle each other and send
-one row to the index, so that a key gets a row for each chunk at most, however many documents share the passage.
+one row to the index, so that a key gets a row for each chunk at most, however many documents share the passage. Blocks are
+equal if anchor and content are, windows if two hashes of 64 bits are.
 """
 
 from __future__ import annotations
@@ -27,21 +30,24 @@ from lexalign.llm.words import BLANKS, CHUNK_BYTES, U64, ODD, Parcels, chunks, c
 LENGTH = 35
 GRAM = 16
 DUPLICATE, ASKED, INDEX = 0, 1, 2
-_MARKS = "part int, kind int, key long, start int, count int, data binary"
-_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("data", pa.binary())])
+_MARKS = "part int, kind int, key long, start int, count int, source long, at int, data binary"
+_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("source", pa.int64()), ("at", pa.int32()), ("data", pa.binary())])
+#: In parcels: anchor, block, document, place, and twice the windows with a flag; and two hashes, document and place.
+_BLOCK, _WINDOW = ["u8", "u8", "i8", "i4", "i4"], ["u8", "u8", "i8", "i4"]
 
 
-def _rows(kind: int, key: np.ndarray, start: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+def _rows(kind: int, key: np.ndarray, start: np.ndarray, count: np.ndarray, source: np.ndarray | None = None, at: np.ndarray | None = None) -> pa.RecordBatch:
     n = len(key)
+    where = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())] if source is None else [pa.array(source.astype(np.int64)), pa.array(at.astype(np.int32))]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(key % 997, np.int32)), pa.array(np.full(n, kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.nulls(n, pa.binary())],
+        [pa.array(np.asarray(key % 997, np.int32)), pa.array(np.full(n, kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), *where, pa.nulls(n, pa.binary())],
         schema=_SCHEMA,
     )
 
 
 def _index_rows(parcels: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
     for part, data in parcels:
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([INDEX], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.array([data], pa.binary())], schema=_SCHEMA)
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([INDEX], pa.int32()), *(pa.nulls(1, f.type) for f in list(_SCHEMA)[2:7]), pa.array([data], pa.binary())], schema=_SCHEMA)
 
 
 def anchors(hashes: np.ndarray, at: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,16 +67,26 @@ def anchors(hashes: np.ndarray, at: np.ndarray, span: int) -> tuple[np.ndarray,
     return starts, where[starts]
 
 
-def _merged(key: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Joins rows of one key that follow each other without a gap."""
+def _merged(key: np.ndarray, start: np.ndarray, count: np.ndarray, source: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Joins rows of one key and source that follow each other without a gap in both."""
     if not len(key):
-        return key, start, count
-    order = np.lexsort((start, key))
-    key, start, count = key[order], start[order], count[order]
+        return key, start, count, source, at
+    order = np.lexsort((start, at - start, source, key))
+    key, start, count, source, at = (x[order] for x in (key, start, count, source, at))
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (start[1:] != start[:-1] + count[:-1])
-    at = np.flatnonzero(new)
-    return key[at], start[at], np.add.reduceat(count, at)
+    new[1:] = (key[1:] != key[:-1]) | (source[1:] != source[:-1]) | (at[1:] - start[1:] != at[:-1] - start[:-1]) | (start[1:] != start[:-1] + count[:-1])
+    first = np.flatnonzero(new)
+    return key[first], start[first], np.add.reduceat(count, first), source[first], at[first]
+
+
+def _copies(order: np.ndarray, lead: np.ndarray, size: np.ndarray, key: np.ndarray, place: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows of groups of several, each with its source: the group's first one, and the first one's is the second."""
+    many = np.repeat(size > 1, size)
+    mine = order[many]
+    first = np.repeat(order[lead], size)[many]
+    second = np.repeat(order[np.minimum(lead + 1, len(order) - 1)], size)[many]
+    source = np.where(mine == first, second, first)
+    return _merged(key[mine], place[mine], count[mine], key[source], place[source])
 
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +102,7 @@ def _blocks(length: int, gram: int, parts: int):
     """Stage 1, on documents: blocks settled within a chunk, and one row for each other anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parcels = Parcels(["u8", "u8", "i8", "i4", "i4"], parts)
+        parcels = Parcels(_BLOCK, parts)
         for batch in batches:
             for part, data, offsets in chunks(batch, "text"):
                 words = cut_words(data, offsets, BLANKS, False)
@@ -104,8 +120,7 @@ def _blocks(length: int, gram: int, parts: int):
                 block = mix(ranges_hash(words.hashes, begin, begin + count + length - 1) + (low[first] - starts[first]).astype(U64) * ODD[3])
                 key = np.asarray(part.column("_key"))[doc]
                 order, lead, size = _groups(anchor, block)
-                many = np.repeat(size > 1, size)
-                yield _rows(DUPLICATE, *_merged(key[order][many], place[order][many], count[order][many]))
+                yield _rows(DUPLICATE, *_copies(order, lead, size, key, place, count))
                 kept = order[lead]  # one for each block
                 _, lead, size = _groups(anchor[kept])
                 several = np.repeat(size > 1, size)  # anchors of more than one block here
@@ -126,13 +141,12 @@ def _look_up_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         if (rest := np.flatnonzero(kinds != INDEX)).size:
             yield batch.take(pa.array(rest))
         blobs += [x for x in batch.column("data").to_pylist() if x is not None]
-    rows = Parcels(["u8", "u8", "i8", "i4", "i4"], 1).read(blobs)
+    rows = Parcels(_BLOCK, 1).read(blobs)
     if not len(rows):
         return
     order, lead, size = _groups(rows["f0"], rows["f1"])
+    yield _rows(DUPLICATE, *_copies(order, lead, size, rows["f2"], rows["f3"], rows["f4"] >> 1))
     rows = rows[order]
-    many = np.repeat(size > 1, size)
-    yield _rows(DUPLICATE, rows["f2"][many], rows["f3"][many], rows["f4"][many] >> 1)
     asked_before = np.maximum.reduceat(rows["f4"] & 1, lead).astype(bool)
     kept = rows[lead]
     _, at, blocks = _groups(kept["f0"])
@@ -144,7 +158,7 @@ def _windows(length: int, parts: int):
     """Stage 3, on documents with blocks at a factor's boundary: each window of those blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parcels = Parcels(["u8", "i8", "i4"], parts)
+        parcels = Parcels(_WINDOW, parts)
         for batch in batches:
             for part, data, offsets in chunks(batch, "text"):
                 words = cut_words(data, offsets, BLANKS, False)
@@ -157,12 +171,12 @@ def _windows(length: int, parts: int):
                 place = np.repeat(start, count) + ramp
                 begin = words.first[doc] + place
                 hashes = ranges_hash(words.hashes, begin, begin + length)
+                check = ranges_hash(mix(words.hashes ^ ODD[9]), begin, begin + length)
                 key = np.asarray(part.column("_key"))[doc]
-                order, lead, size = _groups(hashes)
-                many = np.repeat(size > 1, size)
-                yield _rows(DUPLICATE, *_merged(key[order][many], place[order][many], np.ones(many.sum(), np.int64)))
+                order, lead, size = _groups(hashes, check)
+                yield _rows(DUPLICATE, *_copies(order, lead, size, key, place, np.ones(len(key), np.int64)))
                 sent = order[lead]
-                yield from _index_rows(parcels.add((hashes[sent] % U64(parts)).astype(np.int64), hashes[sent], key[sent], place[sent]))
+                yield from _index_rows(parcels.add((hashes[sent] % U64(parts)).astype(np.int64), hashes[sent], check[sent], key[sent], place[sent]))
         yield from _index_rows(parcels.flush())
 
     return run
@@ -176,37 +190,68 @@ def _look_up_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         if (rest := np.flatnonzero(kinds != INDEX)).size:
             yield batch.take(pa.array(rest))
         blobs += [x for x in batch.column("data").to_pylist() if x is not None]
-    rows = Parcels(["u8", "i8", "i4"], 1).read(blobs)
+    rows = Parcels(_WINDOW, 1).read(blobs)
     if len(rows):
-        order, _, size = _groups(rows["f0"])
-        rows = rows[order][np.repeat(size > 1, size)]
-        yield _rows(DUPLICATE, *_merged(rows["f1"], rows["f2"], np.ones(len(rows), np.int64)))
-
-
-def _spans(length: int):
-    """Stage 5: sorted, disjoint spans of words to remove, from the starts of repeated windows."""
+        order, lead, size = _groups(rows["f0"], rows["f1"])
+        yield _rows(DUPLICATE, *_copies(order, lead, size, rows["f2"], rows["f3"], np.ones(len(rows), np.int64)))
+
+
+def parse(marks: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Greedy factors of a document, as (first window, windows, source, first window there), from marks of the same form: at
+    each window the source that goes on for longest, be it over several marks."""
+    runs: list[list[int]] = []
+    for source, shift, start, count in sorted((m[2], m[3] - m[0], m[0], m[1]) for m in set(marks)):
+        last = runs[-1] if runs else None
+        if last and last[2] == source and last[3] - last[0] == shift and start <= last[0] + last[1]:
+            last[1] = max(last[1], start + count - last[0])
+        else:
+            runs.append([start, count, source, start + shift])
+    runs.sort()
+    out, at, i, best = [], 0, 0, None
+    while True:
+        while i < len(runs) and runs[i][0] <= at:
+            if best is None or runs[i][0] + runs[i][1] > best[0] + best[1]:
+                best = runs[i]
+            i += 1
+        if best is not None and best[0] + best[1] > at:
+            skip = at - best[0]
+            out.append((at, best[1] - skip, best[2], best[3] + skip))
+            at = best[0] + best[1]
+        elif i < len(runs):
+            at = runs[i][0]
+        else:
+            return out
+
+
+def _factors(length: int):
+    """Stage 5: each document's factors, and the runs of words that they cover."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("windows", pa.int32()), ("source", pa.int64()), ("at", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            factors, covered = [], []
             for marks in batch.column("marks").to_pylist():
-                spans: list[list[int]] = []
-                for start, count in sorted((m["start"], m["count"]) for m in marks or ()):
-                    end = start + count + length - 1
-                    if spans and start <= spans[-1][1]:
-                        spans[-1][1] = max(end, spans[-1][1])
+                found = parse([(m["start"], m["count"], m["source"], m["at"]) for m in marks])
+                spans: list[int] = []
+                for start, windows, _, _ in found:
+                    end = start + windows + length - 1
+                    if spans and start <= spans[-1]:
+                        spans[-1] = end
                     else:
-                        spans.append([start, end])
-                out.append([x for s in spans for x in s])
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(out, pa.list_(pa.int32()))], names=["_key", "spans"])
+                        spans += [start, end]
+                factors.append([dict(zip(("start", "windows", "source", "at"), f, strict=True)) for f in found])
+                covered.append(spans)
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(factors, kind), pa.array(covered, pa.list_(pa.int32()))], names=["_key", "factors", "spans"])
 
     return run
 
 
-def duplicate_spans(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(_key, spans): ``spans`` lists begin and end (exclusive) of runs of words covered by repeated windows.
+def parsed(spark: SparkSession, docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(_key, factors, spans): the greedy factors (start, windows, source, at) of documents that have any, and begin and end
+    (exclusive) of the runs of words that they cover; ``source`` is the other document's ``_key``, ``at`` the place of the
+    first word there.
 
-    ``docs`` has ``_key`` (see :func:`keyed`) and ``text``. Documents without such words have no row.
+    ``docs`` has ``_key`` (see :func:`keyed`) and ``text``. A factor of n windows has ``length`` + n - 1 words.
     """
     parts = partitions(spark)
     docs = docs.select("_key", "text")
@@ -217,8 +262,8 @@ def duplicate_spans(spark: SparkSession, docs: DataFrame, scratch: Scratch, leng
     at = docs.join(maybe_broadcast(asked, -(-size // max(1, asked.count()))), "_key").select("_key", "text", "asked")
     more = at.mapInArrow(_windows(length, parts), _MARKS).repartition(parts, "part").mapInArrow(_look_up_windows, _MARKS).drop("data", "part")
     found = marks.where(F.col("kind") == DUPLICATE).unionByName(more)
-    grouped = found.groupBy("key").agg(F.collect_set(F.struct("start", "count")).alias("marks")).select(F.col("key").alias("_key"), "marks")
-    out = scratch.cut(grouped.mapInArrow(_spans(length), "_key long, spans array<int>"))
+    grouped = found.groupBy("key").agg(F.collect_list(F.struct("start", "count", "source", "at")).alias("marks")).select(F.col("key").alias("_key"), "marks")
+    out = scratch.cut(grouped.mapInArrow(_factors(length), "_key long, factors array<struct<start:int,windows:int,source:long,at:int>>, spans array<int>"))
     scratch.drop(marks, asked)
     return out
 
@@ -259,7 +304,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _marked(spark: SparkSession, docs: DataFrame, length: int, gram: int) -> DataFrame:
     scratch = Scratch(spark, "substrings")
     docs = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    spans = duplicate_spans(spark, docs, scratch, length, gram)
+    spans = parsed(spark, docs, scratch, length, gram).select("_key", "spans")
     size = spans.agg(F.coalesce(F.sum(F.size("spans") * 4 + 32), F.lit(0))).first()[0]
     spans = maybe_broadcast(spans, -(-size // max(1, spans.count())))
     return docs.join(spans, "_key", "left").select("doc_id", "text", "spans")

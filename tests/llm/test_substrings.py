@@ -2,7 +2,9 @@ import hashlib
 import re
 from collections import Counter
 
-from lexalign.llm.substrings import anchors, digests, remove_duplicates
+import lexalign.llm.storage
+from lexalign.llm.storage import Scratch
+from lexalign.llm.substrings import anchors, digests, keyed, parse, parsed, remove_duplicates
 
 
 def brute(rows, length):
@@ -33,6 +35,33 @@ def test_kept_text(spark):
     assert got == {1: "d e", 2: "x y", 3: ""}
 
 
+def test_shuffled_joins_give_the_same(spark, documents, monkeypatch):
+    monkeypatch.setattr(lexalign.llm.storage, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, digests(spark, documents).collect()), key=str) == brute(documents.collect(), 35)
+
+
+def test_factors_stand_at_their_sources(spark, documents):
+    length = 12
+    docs = keyed(documents)
+    texts = {r._key: re.findall(r"[^\x20\x09-\x0D]+", r.text or "") for r in docs.collect()}
+    found = {r._key: r.factors for r in parsed(spark, docs, Scratch(spark, "test"), length, 6).collect()}
+    count = Counter(tuple(w[i : i + length]) for r in docs.collect() for w in [texts[r._key]] for i in range(len(w) - length + 1))
+    assert sum(map(len, found.values())) > 20
+    for key, words in texts.items():
+        covered = set()
+        for f in found.get(key, []):
+            n = f.windows + length - 1
+            assert words[f.start : f.start + n] == texts[f.source][f.at : f.at + n] and len(words) >= f.start + n
+            assert covered.isdisjoint(range(f.start, f.start + f.windows))
+            covered |= set(range(f.start, f.start + f.windows))
+        assert covered == {i for i in range(len(words) - length + 1) if count[tuple(words[i : i + length])] > 1}
+
+
+def test_parse_takes_the_longest():
+    marks = [(0, 4, 7, 10), (4, 3, 7, 14), (2, 4, 9, 0), (6, 5, 9, 4), (20, 1, 7, 0)]
+    assert parse(marks) == [(0, 7, 7, 10), (7, 4, 9, 5), (20, 1, 7, 0)]
+
+
 def test_empty(spark, empty):
     assert digests(spark, empty).collect() == []
 
