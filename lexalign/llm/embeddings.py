@@ -52,7 +52,15 @@ def signatures(unit: np.ndarray, label: np.ndarray, tables: int, k: int, width:
     return mix(keys + own[:, None] + np.arange(tables, dtype=U64) * ODD[6])
 
 
-def _hashed(tables: int, k: int, width: float):
+def units(raw: np.ndarray) -> np.ndarray:
+    """Vectors of length one, by rows, in double precision."""
+    with np.errstate(all="ignore"):
+        x = raw.astype(np.float64)
+        x = x / np.abs(x).max(axis=1, keepdims=True)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _hashed(tables: int, k: int, width: float, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = batch.column("embedding")
@@ -64,19 +72,16 @@ def _hashed(tables: int, k: int, width: float):
             usable = np.asarray(batch.column("label").is_valid())
             for dim in np.unique(size[size > 0]).tolist():
                 rows = np.flatnonzero((size == dim) & usable)
-                x = values[begin[rows][:, None] + np.arange(dim)]
-                with np.errstate(all="ignore"):
-                    largest = np.abs(x).max(axis=1)
-                    x = x / largest[:, None]
-                    norm = np.linalg.norm(x, axis=1)
-                good = np.isfinite(largest) & (largest > 0) & np.isfinite(norm)
-                rows, x = rows[good], x[good] / norm[good][:, None]
+                raw = values[begin[rows][:, None] + np.arange(dim)]
+                largest = np.abs(raw).max(axis=1)
+                good = np.isfinite(largest) & (largest > 0)
+                rows, raw = rows[good], raw[good]
                 if not len(rows):
                     continue
-                keys = signatures(x, label[rows], tables, k, width)
+                keys = signatures(units(raw), label[rows], tables, k, width)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").take(pa.array(rows)), batch.column("weight").take(pa.array(rows)), pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())), pa.array([v.tobytes() for v in x], pa.binary())],
-                    names=["node", "weight", "keys", "unit"],
+                    [batch.column("node").take(pa.array(rows)), batch.column("weight").take(pa.array(rows)), pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())), pa.array([v.tobytes() for v in raw.astype(kind)], pa.binary())],
+                    names=["node", "weight", "keys", "vector"],
                 )
 
     return run
@@ -85,26 +90,27 @@ def _hashed(tables: int, k: int, width: float):
 _FOUND = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
 
-def _tasks(table: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
+def _tasks(table: pa.Table, least: float, kind: str) -> Iterator[pa.RecordBatch]:
     """Links of whole tasks, that follow each other: (node, links, other), ``links`` a weight to add and ``other`` a neighbour
     in the tree of the task or null. Tasks of one size are compared together."""
     columns = {c: np.asarray(table[c]) for c in ("table", "key", "i", "j", "node", "weight", "block")}
-    lengths = np.asarray(pa.compute.binary_length(table["unit"]))
+    lengths = np.asarray(pa.compute.binary_length(table["vector"])) // np.dtype(kind).itemsize
     new = np.ones(len(lengths), bool)
     new[1:] = np.any([columns[c][1:] != columns[c][:-1] for c in ("table", "key", "i", "j")], axis=0) | (lengths[1:] != lengths[:-1])
     start = np.flatnonzero(new)
     size = np.diff(np.append(start, len(new)))
-    keys = np.frombuffer(b"".join(table["before"].to_pylist()), np.uint32).reshape(len(new), -1)
+    keys = np.frombuffer(b"".join(table["before"].to_pylist()), np.uint32)
+    first_key = np.cumsum(columns["table"]) - columns["table"]  # a row has its keys of the tables before its own
     place = np.cumsum(lengths) - lengths
-    units = np.frombuffer(b"".join(table["unit"].to_pylist()), np.float64)
+    values = np.frombuffer(b"".join(table["vector"].to_pylist()), kind)
     node, weight, side = columns["node"], columns["weight"], columns["block"]
     links, other = np.zeros(len(new), np.int64), node.copy()
     for n, length in {(int(a), int(b)) for a, b in zip(size, lengths[start], strict=True) if a > 1}:
         mine = start[(size == n) & (lengths[start] == length)]
-        step = max(1, (32 << 20) // (n * max(length, 8 * n)))
+        step = max(1, (32 << 20) // (8 * n * max(length, n)))
         for at in range(0, len(mine), step):
             rows = mine[at : at + step, None] + np.arange(n)
-            x = units[(place[rows] // 8)[..., None] + np.arange(length // 8)]
+            x = units(values[place[rows.ravel()][:, None] + np.arange(length)]).reshape(*rows.shape, length)
             linked = x @ x.transpose(0, 2, 1) >= least
             cross = columns["i"][rows[:, 0]] != columns["j"][rows[:, 0]]
             linked &= ~cross[:, None, None] | (side[rows][:, :, None] != side[rows][:, None, :])
@@ -114,7 +120,8 @@ def _tasks(table: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
                 sub = np.flatnonzero(linked[g].any(axis=1))
                 r, now = rows[g][sub], linked[g][np.ix_(sub, sub)]
                 for before in range(int(columns["table"][r[0]])):
-                    now &= keys[r, before][:, None] != keys[r, before][None, :]
+                    key = keys[first_key[r] + before]
+                    now &= key[:, None] != key[None, :]
                 links[r] += now @ weight[r]
                 other[r] = node[r][roots(now)]
     out = np.flatnonzero(links)
@@ -122,7 +129,7 @@ def _tasks(table: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(node[out], pa.int64()), pa.array(links[out], pa.int64()), tree], schema=_FOUND)
 
 
-def _compare(least: float):
+def _compare(least: float, kind: str):
     """Runs :func:`_tasks` over sorted rows; the last task of a batch waits for the next one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,10 +142,10 @@ def _compare(least: float):
             last = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
-                yield from _tasks(whole.slice(0, cut), least)
+                yield from _tasks(whole.slice(0, cut), least, kind)
             held = whole.slice(cut).combine_chunks().to_batches()
         if held:
-            yield from _tasks(pa.Table.from_batches(held), least)
+            yield from _tasks(pa.Table.from_batches(held), least, kind)
 
     return run
 
@@ -148,15 +155,17 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, least: float = 0.93, w
 
     Null and zero vectors, those with null or infinite components or NaN, and rows without a label link with nothing and are
     their own component. Vectors of different lengths are never linked. Equal vectors of a label are linked, as are
-    repeated rows. A null vec_id takes part, but names no component unless all are null. Other columns are ignored. An
-    empty table gives an empty result.
+    repeated rows. A null vec_id takes part, but names no component unless all are null. Labels of any simple type are equal
+    if they look the same as text. Other columns are ignored. An empty table gives an empty result.
     """
+    # single precision travels as it is, and is a unit vector in double precision where it is compared
+    kind = "<f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
     scratch = Scratch(spark, "vectors")
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.when(F.col("label").isNotNull(), F.xxhash64(F.col("label").cast("string"))).alias("label"))
     rows = rows.withColumn("node", F.xxhash64("label", "embedding", F.size("embedding")))
     nodes = rows.where("label IS NOT NULL AND size(embedding) > 0").groupBy("node").agg(F.count("*").alias("weight"), F.min("vec_id").alias("low"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     nodes = scratch.cut(nodes)
-    hashed = scratch.cut(nodes.select("node", "weight", "label", "embedding").mapInArrow(_hashed(tables, k, width), "node long, weight long, keys array<long>, unit binary"))
+    hashed = scratch.cut(nodes.select("node", "weight", "label", "embedding").mapInArrow(_hashed(tables, k, width, kind), "node long, weight long, keys array<long>, vector binary"))
     places = hashed.select("node", F.posexplode("keys").alias("table", "key"))
     buckets = places.groupBy("table", "key").agg(F.count("*").alias("size")).where("size > 1").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     members = places.join(buckets, ["table", "key"]).withColumn("block", F.pmod(F.xxhash64("node", "table"), F.col("blocks")).cast("int"))
@@ -165,10 +174,10 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, least: float = 0.93, w
     members = members.select("table", "key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node")
     short = F.transform("keys", lambda x: F.hex(F.shiftrightunsigned(x, 32)))
     before = F.unhex(F.array_join(F.transform(short, lambda x: F.lpad(x, 8, "0")), ""))
-    members = members.join(hashed.select("node", "weight", "unit", before.alias("before")), "node")
+    members = members.join(hashed.select("node", "weight", "vector", before.alias("before")), "node").withColumn("before", F.substring("before", 1, 4 * F.col("table")))
     task = ["table", "key", "i", "j"]
     members = members.repartition(partitions(spark), *task).sortWithinPartitions(*task, "node")
-    found = scratch.cut(members.mapInArrow(_compare(least), "node long, links long, other long"))
+    found = scratch.cut(members.mapInArrow(_compare(least, kind), "node long, links long, other long"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = components(spark, found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), scratch)
     known = nodes.select("node", "weight", "low").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
