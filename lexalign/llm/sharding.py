@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from lexalign.llm.storage import Scratch
 
-LIMIT = 16 << 20
+#: Bytes of text in a shard: what one reader takes in a moment, and few enough for small tables to split.
+LIMIT = 1 << 20
 BITS = 60
 #: Bits of a cell beyond those that an even spread needs, and bits by which oversized cells are cut finer.
 SPARE, FINER = 3, 10
