@@ -3,16 +3,23 @@
 Known words are scored by their log frequency in each language. An unseen word is read from left to right by the longest
 known n-gram at each place, from four characters down to one. Words and n-grams are counted over all learning documents:
 each task adds up its own counts and sends them by hash, and each partition adds up its share. All counts stay in a written
-table. The most frequent words, up to a fixed number, are broadcast; the other words of a document meet the table by hash,
-counted by document, and each distinct one of them that the table lacks is read by n-grams from the table once.
+table, and all of them count.
+
+Words above a fixed share of all occurrences are broadcast, as are n-grams as far as a fixed size goes. Documents are read in
+units of some MB. A unit asks the partitions of the table for its other words, and for n-grams of these where not all are
+broadcast, each of them once; the answers come back to the unit, which then scores its documents. So neither the model nor a
+word's occurrences are ever in one place.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +30,16 @@ from lexalign.llm.words import U64, Parcels, chunks, ranges_hash
 
 FOLDS, HELD_OUT = 4, 2
 LONGEST = 4
-#: Words that are broadcast at most; the others are looked up in the table.
-ENTRIES = 1 << 16
-#: Bytes of text worked on at once.
-CHUNK = 1 << 20
+#: Words of at least this share of all occurrences are broadcast, and n-grams up to a size; each as far as it fits.
+SHARE = 1e-7
+MODEL_BYTES = 16 << 20
+#: Bytes of text worked on at once, and of a unit that asks for its words at once.
+CHUNK, UNIT = 1 << 20, 8 << 20
 #: Counts that wait in a task before they are sent.
 PENDING = 1 << 18
 EDGE = 1
+SMOOTH = 0.1
+_SENT = ["i8", "u1", "u4", "u8"]
 
 _lower: list[np.ndarray] = []
 
@@ -109,7 +119,7 @@ def _count(parts: int):
     """Counts of words (kind 0) and n-grams (kind n) by language, in parcels by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parcels = Parcels(["i8", "u1", "u2", "u8"], parts, 4 << 20)
+        parcels = Parcels(_SENT, parts, 4 << 20)
         waiting: list[tuple[np.ndarray, ...]] = []
 
         def sent(last: bool) -> Iterator[tuple[int, bytes]]:
@@ -134,7 +144,7 @@ def _count(parts: int):
                     continue
                 keys = word_keys(points, start, end)
                 pair, first, count = _pairs(keys, language[doc])
-                langs = pair.astype(np.uint16)
+                langs = pair.astype(np.uint32)
                 waiting.append((count, np.zeros(len(count), np.uint8), langs, keys[first]))
                 grams, word = n_grams(points, start[first], end[first])
                 for n, hashes in enumerate(grams, 1):
@@ -157,38 +167,50 @@ def _pairs(keys: np.ndarray, language: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return b[at], order[at], np.diff(np.append(at, len(order)))
 
 
-def _sum_parcels(n_languages: int):
-    """A row for each word or n-gram of a partition, with its counts by language."""
+_COUNTS = "part int, kind int, key long, total long, langs array<int>, counts array<long>"
+
+
+def _sum_parcels(parts: int):
+    """A row for each word or n-gram of a partition, with the languages that have it and how often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [x for batch in batches for x in batch.column("data").to_pylist()]
-        rows = Parcels(["i8", "u1", "u2", "u8"], 1).read(blobs)
+        rows = Parcels(_SENT, 1).read([x for batch in batches for x in batch.column("data").to_pylist()])
         if not len(rows):
             return
         count, kind, language, key = _add_up(rows["f0"], rows["f1"], rows["f2"], rows["f3"])
-        order = np.lexsort((key, kind))
+        order = np.lexsort((language, key, kind))
         count, kind, language, key = count[order], kind[order], language[order], key[order]
         at = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])))
-        owner = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(key))))
+        total, ends = np.add.reduceat(count, at), np.append(at, len(key))
         for begin in range(0, len(at), 20_000):
-            mine = (owner >= begin) & (owner < begin + 20_000)
             some = at[begin : begin + 20_000]
-            table = np.zeros((len(some), n_languages), np.int64)
-            table[owner[mine] - begin, language[mine]] = count[mine]
-            yield pa.RecordBatch.from_arrays([pa.array(kind[some], pa.int32()), pa.array(key[some].view(np.int64)), pa.array(table.sum(axis=1), pa.int64()), pa.array(list(table), pa.list_(pa.int64()))], names=["kind", "key", "total", "counts"])
+            end = ends[begin + len(some)]
+            offsets = pa.array(ends[begin : begin + len(some) + 1] - some[0], pa.int32())
+            lists = (pa.ListArray.from_arrays(offsets, pa.array(x[some[0] : end].astype(t))) for x, t in ((language, np.int32), (count, np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array((key[some] % U64(parts)).astype(np.int32)), pa.array(kind[some], pa.int32()), pa.array(key[some].view(np.int64)), pa.array(total[begin : begin + len(some)], pa.int64()), *lists], names=["part", "kind", "key", "total", "langs", "counts"])
 
     return run
 
 
-class Model:
-    """Log frequencies of frequent words by language."""
+def _logs(n: int, row: np.ndarray, language: np.ndarray, count: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Log frequencies by language of ``n`` words or n-grams, from their counts where there are any."""
+    out = np.full((n, len(below)), SMOOTH)
+    out[row, language] += count
+    return np.log(out / below)
+
 
-    def __init__(self, languages: list[str], rows: pa.Table, below: np.ndarray):
-        self.languages = languages
-        keys = np.asarray(rows["key"]).view(U64)
-        counts = np.asarray(rows["counts"].combine_chunks().flatten()).reshape(len(keys), len(languages))
+class Table:
+    """Log frequencies by language of some words or n-grams, by key."""
+
+    def __init__(self, keys: np.ndarray, logs: np.ndarray):
         order = np.argsort(keys)
-        self.keys, self.logs = keys[order], np.log((counts[order] + 0.1) / below)
+        self.keys, self.logs = keys[order], logs[order]
+
+    @classmethod
+    def of(cls, rows: pa.Table, below: np.ndarray) -> Table:
+        langs, counts = rows["langs"].combine_chunks(), rows["counts"].combine_chunks()
+        owner = np.repeat(np.arange(len(rows)), np.asarray(langs.value_lengths()))
+        return cls(np.asarray(rows["key"]).view(U64), _logs(len(rows), owner, np.asarray(langs.flatten()), np.asarray(counts.flatten()), below))
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key in the table, -1 where it has none."""
@@ -197,117 +219,238 @@ class Model:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, at, -1)
 
-    def read(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[dict]]]:
-        """By document: sums of scores of the words here, whether it has words, and its other words with their counts."""
-        points, start, end, doc = letter_words(data, offsets)
-        n, k = len(offsets) - 1, len(self.languages)
-        sums, rest = np.zeros((n, k)), [[] for _ in range(n)]
-        if len(start):
-            keys, first, inverse = np.unique(word_keys(points, start, end), return_index=True, return_inverse=True)
-            at = self.find(keys)[inverse]
-            for i in range(k):
-                sums[:, i] = np.bincount(doc[at >= 0], self.logs[at[at >= 0], i], minlength=n)
-            pair, count = np.unique(np.stack([doc[at < 0], inverse[at < 0]]), axis=1, return_counts=True)
-            for d, w, c in zip(*pair.tolist(), count.tolist(), strict=True):
-                word = points[start[first[w]] : end[first[w]]].astype("<u4").tobytes().decode("utf-32-le")
-                rest[d].append({"key": int(keys[w].view(np.int64)), "n": c, "word": word})
-        return sums, np.bincount(doc, minlength=n) > 0, rest
-
-
-def train(spark: SparkSession, docs: DataFrame, scratch: Scratch, entries: int = ENTRIES) -> tuple[Model, DataFrame | None, np.ndarray]:
-    """Model of the texts of ``docs`` (text, lang); rows without either teach nothing. And the table of all counts, and by kind
-    and language what a count is divided by."""
+
+class Model:
+    """What is broadcast: tables of words and of n-grams by their length, whether these are all there are, and by kind and
+    language what a count is divided by."""
+
+    def __init__(self, languages: list[str], below: np.ndarray, tables: list[Table], whole: bool):
+        self.languages, self.below, self.tables, self.whole = languages, below, tables, whole
+
+
+def train(spark: SparkSession, docs: DataFrame, scratch: Scratch, share: float = SHARE, size: int = MODEL_BYTES) -> tuple[Model | None, DataFrame | None]:
+    """Model of the texts of ``docs`` (text, lang), and the table of all counts; rows without either teach nothing."""
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     languages = sorted(r.lang for r in docs.select("lang").distinct().collect())  # one row for each language
-    below = np.full((LONGEST + 1, len(languages)), 0.1)
     if not languages:
-        return Model([], pa.table({"key": pa.array([], pa.int64()), "counts": pa.array([], pa.list_(pa.int64()))}), below[0]), None, below
+        return None, None
     parts = partitions(spark)
     place = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")) - 1
     counted = docs.select("text", place.cast("int").alias("language")).mapInArrow(_count(parts), "part int, data binary")
-    counts = scratch.cut(counted.repartition(parts, "part").mapInArrow(_sum_parcels(len(languages)), "kind int, key long, total long, counts array<long>"))
-    by = counts.groupBy("kind").agg(F.count("*").alias("size"), *[F.sum(F.col("counts")[i]).alias(str(i)) for i in range(len(languages))]).collect()
-    for r in by:
-        below[r.kind] = np.array(r[2:]) + 0.1 * (r["size"] + 1)
-    # how many words there are of each count tells the least count to broadcast; counts are binned by halves of a power
-    step, words = F.floor(F.log2("total") * 2), counts.where("kind = 0")
-    most, least = 0, None
-    for r in words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
-        most += r.n
-        if most <= entries:
-            least = r.step
-    rows = words.where(step >= least) if least is not None else words.limit(0)
-    return Model(languages, rows.select("key", "counts").toArrow(), below[0]), counts, below
-
-
-def _read(shared):
+    counts = scratch.cut(counted.repartition(parts, "part").mapInArrow(_sum_parcels(parts), _COUNTS))
+    below = np.full((LONGEST + 1, len(languages)), SMOOTH)
+    for r in counts.groupBy("kind").agg(F.count("*").alias("n")).collect():
+        below[r.kind] = SMOOTH * (r.n + 1)
+    by = counts.select("kind", F.explode(F.arrays_zip("langs", "counts")).alias("x")).groupBy("kind", "x.langs").agg(F.sum("x.counts").alias("n"))
+    occurrences = 0
+    for r in by.collect():  # a row for each kind and language
+        below[r.kind, r.langs] += r.n
+        occurrences += r.n if r.kind == 0 else 0
+    # how many there are of each count tells the least count to broadcast; counts are binned by halves of a power
+    most, words = size // (8 + 8 * len(languages)), F.col("kind") == 0
+    step = F.floor(F.log2("total") * 2)
+    bins = counts.where(~words | (F.col("total") >= share * occurrences)).groupBy(words.alias("words"), step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
+    least = {}
+    for kind in (True, False):
+        held = np.cumsum([r.n for r in bins if r.words == kind])
+        steps = [r.step for r in bins if r.words == kind]
+        fits = int((held <= most).sum())
+        least[kind] = steps[fits - 1] if fits else None, fits == len(steps)
+    chosen = F.lit(False)
+    for kind, mine in ((True, words & (F.col("total") >= share * occurrences)), (False, ~words)):
+        if least[kind][0] is not None:
+            chosen = chosen | (mine & (step >= least[kind][0]))
+    rows = counts.where(chosen).select("kind", "key", "langs", "counts").toArrow()
+    kinds = np.asarray(rows["kind"])
+    tables = [Table.of(rows.filter(pa.array(kinds == kind)), below[kind]) for kind in range(LONGEST + 1)]
+    return Model(languages, below, tables, least[False][1]), counts
+
+
+def _requests(points: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Kind and key of what a unit must ask for its words outside the model."""
+    kinds, asked = [np.zeros(len(keys), np.uint8)], [keys]
+    if not model.whole:
+        for n, hashes in enumerate(n_grams(points, start, end)[0], 1):
+            hashes = np.unique(hashes[hashes > 0])
+            hashes = hashes[model.tables[n].find(hashes) < 0]
+            kinds.append(np.full(len(hashes), n, np.uint8))
+            asked.append(hashes)
+    return np.concatenate(kinds), np.concatenate(asked)
+
+
+def _blob(**arrays: np.ndarray) -> bytes:
+    out = io.BytesIO()
+    np.savez(out, **arrays)
+    return out.getvalue()
+
+
+_ASKED = "unit long, part int, data binary"
+
+
+def _read(shared, parts: int):
+    """For each unit a row with its documents and words outside the model, and one for each partition that it asks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest_type = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64()), ("word", pa.string())]))
+        model = shared.value
+        number = TaskContext.get().partitionId() << 32
+        docs: list[tuple] = []
+        rare: list[tuple] = []
+        size = n_docs = 0
+
+        def unit() -> pa.RecordBatch:
+            word, doc, n, lengths, points = (np.concatenate(c) for c in zip(*rare, strict=True))
+            keys, first, inverse = np.unique(word, return_index=True, return_inverse=True)
+            ends = np.cumsum(lengths)
+            kinds, asked = _requests(points, (ends - lengths)[first], ends[first], keys, model)
+            part = (asked % U64(parts)).astype(np.int32)
+            order = np.lexsort((asked, kinds, part))
+            kinds, asked, part = kinds[order], asked[order], part[order]
+            cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+            chosen = np.repeat(np.isin(np.arange(len(lengths)), first), lengths)
+            doc_id, null, held, sums, some = (np.concatenate(c) for c in zip(*docs, strict=True))
+            mine = _blob(doc_id=doc_id, null=null, held=held, sums=sums, some=some, doc=doc, n=n, word=inverse, lengths=lengths[np.sort(first)], points=points[chosen], place=np.argsort(np.argsort(first)), keys=keys, kinds=kinds, asked=asked, part=part)
+            rows = [(number, None, mine)] + [(number, int(part[a]), kinds[a:b].tobytes() + asked[a:b].tobytes()) for a, b in zip(cuts, np.append(cuts[1:], len(part))[: len(cuts)], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["unit", "part", "data"])
+
         for batch in batches:
             for part, data, offsets in chunks(batch, "text", CHUNK):
-                sums, some, rest = shared.value.read(data, offsets)
-                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(list(sums), pa.list_(pa.float64())), pa.array(some), pa.array(rest, rest_type)], names=["row", "doc_id", "held_out", "sums", "some", "rest"])
+                points, start, end, doc = letter_words(data, offsets)
+                n, k = part.num_rows, len(model.languages)
+                sums = np.zeros((n, k))
+                keys, first, inverse = np.unique(word_keys(points, start, end), return_index=True, return_inverse=True)
+                at = model.tables[0].find(keys)[inverse]
+                known = at >= 0
+                for i in range(k):
+                    sums[:, i] = np.bincount(doc[known], model.tables[0].logs[at[known], i], minlength=n)
+                ids = part.column("doc_id")
+                docs.append((np.asarray(ids.fill_null(0)), np.asarray(ids.is_null()), np.asarray(part.column("held_out")), sums, np.bincount(doc, minlength=n) > 0))
+                pair, where, count = np.unique(doc[~known] * np.int64(len(keys) + 1) + inverse[~known], return_index=True, return_counts=True)
+                word = inverse[~known][where]
+                begin, stop = start[first[word]], end[first[word]]
+                length = stop - begin
+                flat = np.repeat(begin - np.cumsum(length) + length, length) + np.arange(length.sum())
+                rare.append((keys[word], doc[~known][where] + n_docs, count, length, points[flat]))
+                size, n_docs = size + len(data), n_docs + n
+                if size >= UNIT:
+                    yield unit()
+                    number, size, n_docs = number + 1, 0, 0
+                    docs, rare = [], []
+        if docs:
+            yield unit()
+
+    return run
+
+
+def _answer(key: tuple, asked: pa.Table, counts: pa.Table) -> pa.Table:
+    """For each unit that asks a partition: the places of what is known in its question, the languages and the counts."""
+    kind, keys = np.asarray(counts["kind"]).astype(np.uint8), np.asarray(counts["key"]).view(U64)
+    order = np.lexsort((keys, kind))
+    edges = np.searchsorted(kind[order], np.arange(LONGEST + 2))
+    langs, numbers = counts["langs"].combine_chunks(), counts["counts"].combine_chunks()
+    n = np.asarray(langs.value_lengths()) if len(counts) else np.zeros(0, np.int64)
+    begin = np.cumsum(n) - n
+    langs, numbers = np.asarray(langs.flatten()), np.asarray(numbers.flatten())
+    out = []
+    for unit, data in zip(asked["unit"].to_pylist(), asked["data"].to_pylist(), strict=True):
+        size = len(data) // 9
+        kinds, mine = np.frombuffer(data, np.uint8, size), np.frombuffer(data, U64, size, size)
+        places, rows = [], []
+        for i in np.unique(kinds).tolist():
+            here = np.flatnonzero(kinds == i)
+            some = order[edges[i] : edges[i + 1]]
+            if len(some):
+                at = np.minimum(np.searchsorted(keys[some], mine[here]), len(some) - 1)
+                hit = keys[some[at]] == mine[here]
+                places.append(here[hit])
+                rows.append(some[at[hit]])
+        place, row = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (places, rows))
+        each = n[row]
+        flat = np.repeat(begin[row] - np.cumsum(each) + each, each) + np.arange(each.sum())
+        answer = np.empty(len(flat), _FOUND)
+        answer["place"], answer["lang"], answer["n"] = np.repeat(place, each), langs[flat], numbers[flat]
+        out.append((unit, key[0].as_py(), answer.tobytes()))
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else ([], [], []), (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["unit", "part", "data"])
+
+
+_FOUND = np.dtype([("place", "u4"), ("lang", "u4"), ("n", "i8")])
+
+
+def _scored(shared):
+    """Documents of a unit, once its questions are answered."""
+
+    def run(key: tuple, units: pa.Table, answers: pa.Table) -> pa.Table:
+        model = shared.value
+        x = np.load(io.BytesIO(units["data"][0].as_py()))
+        kinds, asked, part = x["kinds"], x["asked"], x["part"]
+        found = []
+        for p, data in zip(answers["part"].to_pylist(), answers["data"].to_pylist(), strict=True):
+            rows = np.frombuffer(data, _FOUND)
+            found.append((rows["place"] + np.searchsorted(part, p), rows["lang"], rows["n"]))
+        place, lang, n = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        tables = []
+        for kind in range(LONGEST + 1):
+            mine = kinds[place] == kind
+            rows, row = np.unique(place[mine], return_inverse=True)
+            tables.append(Table(asked[rows], _logs(len(rows), row, lang[mine], n[mine], model.below[kind])))
+        keys, scores = x["keys"], np.zeros((len(x["keys"]), len(model.languages)))
+        at = tables[0].find(keys)
+        scores[at >= 0] = tables[0].logs[at[at >= 0]]
+        unseen = np.flatnonzero(at < 0)
+        ends = np.cumsum(x["lengths"])
+        order = x["place"][unseen]
+        scores[unseen] = _by_grams(x["points"], (ends - x["lengths"])[order], ends[order], model, tables)
+        sums, word = x["sums"], x["word"]
+        for i in range(sums.shape[1]):
+            sums[:, i] += np.bincount(x["doc"], scores[word, i] * x["n"], minlength=len(sums))
+        best = sums.argmax(axis=1)  # the first of equal ones
+        score = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
+        names = pa.array(model.languages, pa.string()).take(pa.array(best))
+        some = pa.array(x["some"])
+        lang_pred = pa.compute.if_else(some, names, pa.scalar("und"))
+        return pa.Table.from_arrays([pa.array(x["doc_id"], pa.int64(), mask=x["null"]), pa.array(x["held"]), lang_pred, pa.array(np.where(x["some"], score, 0.0))], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return run
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, at, kind, key): the n-grams at each place of a word."""
-    for batch in batches:
-        for begin in range(0, batch.num_rows, 20_000):
-            part = batch.slice(begin, 20_000)
-            texts = part.column("word").to_pylist()
-            points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-            end = np.cumsum([len(t) for t in texts])
-            start = end - np.array([len(t) for t in texts])
-            grams, word = n_grams(points, start, end)
-            owner = np.asarray(part.column("key"))
-            for n, hashes in enumerate(grams, 1):
-                at = np.flatnonzero(hashes > 0)
-                yield pa.RecordBatch.from_arrays([pa.array(owner[word[at]]), pa.array(at), pa.array(np.full(len(at), n, np.int32)), pa.array(hashes[at].view(np.int64))], names=["word", "at", "kind", "key"])
-
-
-def _rest_scores(rest: DataFrame, counts: DataFrame, below: np.ndarray, scratch: Scratch) -> DataFrame:
-    """(key, s0, s1, ...): scores by language of the words (key, word) outside the broadcast model."""
-    k = below.shape[1]
-    log = lambda kind, i: F.log((F.col("counts")[i] + 0.1) / F.element_at(F.array(*[F.lit(float(x)) for x in below[:, i]]), kind + 1))
-    words = counts.where("kind = 0").select("key", "counts")
-    met = scratch.cut(rest.join(words, "key", "left"))
-    known = met.where("counts IS NOT NULL").select("key", *[log(F.lit(0), i).alias(f"s{i}") for i in range(k)])
-    places = met.where("counts IS NULL").select("key", "word").mapInArrow(_places, "word long, at long, kind int, key long")
-    hits = places.join(counts.where("kind > 0").select("kind", "key", "counts"), ["kind", "key"])
-    longest = hits.groupBy("word", "at").agg(F.max(F.struct("kind", "counts")).alias("x")).select("word", "x.kind", "x.counts")
-    scale = F.lit(2) / F.greatest(F.count("*"), F.lit(2))  # places overlap: a word weighs as two of them
-    unseen = longest.groupBy("word").agg(*[(F.sum(log(F.col("kind"), i)) * scale).alias(f"s{i}") for i in range(k)])
-    return known.unionByName(unseen.withColumnRenamed("word", "key"))
-
-
-def identify(spark: SparkSession, docs: DataFrame, entries: int = ENTRIES) -> DataFrame:
+def _by_grams(points: np.ndarray, start: np.ndarray, end: np.ndarray, model: Model, tables: list[Table]) -> np.ndarray:
+    """Scores of unseen words by the longest known n-gram at each place. Places overlap: a word weighs as two of them."""
+    grams, word = n_grams(points, start, end)
+    open_, sums, count = np.ones(len(word), bool), np.zeros((len(start), len(model.languages))), np.zeros(len(start))
+    for n in range(LONGEST, 0, -1):
+        at = np.flatnonzero(open_ & (grams[n - 1] > 0))
+        for table in (model.tables[n], tables[n]):
+            row = table.find(grams[n - 1][at])
+            hit = row >= 0
+            for i in range(sums.shape[1]):
+                sums[:, i] += np.bincount(word[at[hit]], table.logs[row[hit], i], minlength=len(sums))
+            count += np.bincount(word[at[hit]], minlength=len(sums))
+            open_[at[hit]] = False
+            at = at[~hit]
+    return sums * (2 / np.maximum(count, 2))[:, None]
+
+
+def identify(spark: SparkSession, docs: DataFrame, share: float = SHARE, size: int = MODEL_BYTES) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): a row for each row of ``docs``.
 
     Learns from texts and non-null ``lang`` of rows whose crc32(doc_id as text) mod 4 is not 2. A text without letters, empty
     or null is ``und`` with score 0, as is every text if there is nothing to learn from. A null doc_id counts as held out.
     Ties go to the language that sorts first. Repeated rows teach each time and get equal results. Other columns are ignored.
-    An empty table gives an empty result. ``entries`` is how many words are broadcast and changes no result.
+    An empty table gives an empty result. ``share`` and ``size`` say what is broadcast and change no result.
     """
     scratch = Scratch(spark, "language")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.withColumn("held_out", F.coalesce(remainder(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(True)))
-    model, counts, below = train(spark, rows.where("NOT held_out"), scratch, entries)
-    k = len(model.languages)
-    if not k:
+    model, counts = train(spark, rows.where("NOT held_out"), scratch, share, size)
+    if model is None:
         return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    read = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
-    read = scratch.cut(read.mapInArrow(_read(spark.sparkContext.broadcast(model)), "row long, doc_id long, held_out boolean, sums array<double>, some boolean, rest array<struct<key:long,n:long,word:string>>"))
-    rest = read.select("row", F.explode("rest").alias("x")).select("row", "x.key", "x.n", "x.word")
-    scores = scratch.cut(_rest_scores(rest.groupBy("key").agg(F.min("word").alias("word")), counts, below, scratch))
-    more = rest.drop("word").join(scores, "key").groupBy("row").agg(F.array(*[F.sum(F.col("n") * F.col(f"s{i}")) for i in range(k)]).alias("more"))
-    out = read.drop("rest").join(more, "row", "left")
-    out = out.withColumn("sums", F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda a, b: a + b)))
-    top = F.array_max("sums")
-    best = F.element_at(F.array(*[F.lit(x) for x in model.languages]), F.array_position("sums", top).cast("int"))
-    odds = F.aggregate("sums", F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
-    return out.select("doc_id", "held_out", F.when(F.col("some"), best).otherwise("und").alias("lang_pred"), F.when(F.col("some"), 1 / odds).otherwise(0.0).alias("score"))
+    shared = spark.sparkContext.broadcast(model)
+    read = scratch.cut(rows.select("doc_id", "held_out", "text").mapInArrow(_read(shared, partitions(spark)), _ASKED))
+    table = counts if not model.whole else counts.where("kind = 0")
+    table = table.select("part", "kind", "key", "langs", "counts")
+    asked = read.where("part IS NOT NULL")
+    answers = asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(_answer, _ASKED)
+    units = read.where("part IS NULL")
+    return units.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(_scored(shared), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
