@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder where the session's checkpoints go; on one machine without such a setting a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="lexalign-")
+    """A new folder where the session's checkpoints go; on one machine without such a setting a temporary one, and on a cluster an
+    error."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        root = "file://" + tempfile.mkdtemp(prefix="lexalign-")
     return f"{root}/stream-{uuid.uuid4().hex}"
 
 
