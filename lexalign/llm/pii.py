@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexalign.llm.storage import bounded_batches
 from lexalign.llm.words import BLANKS, chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -445,6 +446,7 @@ def find_pii(spark: SparkSession, docs: DataFrame) -> DataFrame:
     points, the end exclusive, by start and then kind. A null text counts as empty and has no spans. Repeated rows get equal
     results. Other columns are ignored. An empty table gives an empty result.
     """
+    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_find(trained()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
@@ -452,6 +454,7 @@ def find_pii(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def mask_pii(spark: SparkSession, docs: DataFrame, column: str = "text") -> DataFrame:
     """``docs`` with each span of ``column`` replaced by its kind, as in ``<EMAIL>``; where spans overlap, the first one's. A
     null text stays null. All columns stay."""
+    bounded_batches(spark)
     return docs.mapInArrow(_mask(trained(), column), docs.schema)
 
 

@@ -12,10 +12,25 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 48 << 20
 
 
+#: Texts vary in length, so what goes to a Python worker at once is bounded by bytes and not by rows.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound on the bytes of an Arrow batch, unless it is lower already."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(name).rstrip("b"))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset (tests on one machine) a temporary folder, set once."""
+    """``spark.checkpoint.dir`` of the session. Where it is unset and there is one machine only, as in tests, a temporary folder,
+    set once; on a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="lexalign-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -26,6 +41,7 @@ class Scratch:
     ``drop`` deletes a table that no lazy result needs any more."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bounded_batches(spark)
         self.spark, self.root = spark, f"{shared_folder(spark)}/lexalign-{name}-{uuid.uuid4().hex}"
         self.count = 0
 
@@ -46,14 +62,10 @@ class Scratch:
                 at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a table that was cut holds at most ``limit`` bytes, at ``row_bytes`` a row."""
-    return df.count() * row_bytes <= limit
-
-
-def maybe_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows fit the limit, else unchanged for a shuffled join."""
-    return F.broadcast(df) if small(df, row_bytes, limit) else df
+def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df``, a table that was cut, with a broadcast hint if its counted rows, at ``row_bytes`` each, fit the limit, else
+    unchanged for a shuffled join."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
 def partitions(spark: SparkSession) -> int:
