@@ -85,7 +85,12 @@ def review_rules_fixture(spark, sf_dir):
 NOTES = ["天地[12]玄黄", "天地（参看注①）玄黄", "见第三页注②。天地", "天地①②", "正文［注3］", "（1737）年", "[注1](part3.html#a7)天地", "天地"]
 
 
-@query()
+_STRIPPED = "text"
+for _form in X.NOTE_REFERENCES:
+    _STRIPPED = f"regexp_replace({_STRIPPED}, '{_form}', '', 'g')"
+
+
+@query(f"SELECT id, {_STRIPPED} AS text FROM (VALUES {_values(list(enumerate(NOTES)))}) t(id, text)")
 def note_strip_fixture(spark, sf_dir):
     rows = spark.createDataFrame(list(enumerate(NOTES)), "id int, text string")
     return rows.select("id", X.strip_note_references(F.col("text")).alias("text"))
@@ -94,7 +99,11 @@ def note_strip_fixture(spark, sf_dir):
 READINGS = [("zh", 0, "天地", "tiān dì", "subject"), ("zh", 1, "，", "x", ""), ("zh", 2, "天a", "tiān", "object"), ("ja", 3, "食べる", "た", "predicate"), ("ja", 4, "山川", "", "subject"), ("ja", 5, "は", "は", "topic"), ("ja", 6, "山川", "やまかわ", "subject")]
 
 
-@query()
+#: By the rules: ruby stays on single Chinese characters, and words are cut for that where readings and characters agree.
+READ = [(0, 0, "天", "tiān", "subject"), (0, 1, "地", "dì", "subject"), (1, 0, "，", "", ""), (2, 0, "天", "tiān", "object"), (2, 1, "a", "", "object"), (3, 0, "食", "た", "predicate"), (3, 1, "べる", "", "predicate"), (4, 0, "山", "", "subject"), (4, 1, "川", "", "subject"), (5, 0, "は", "", "topic"), (6, 0, "山川", "やまかわ", "subject")]
+
+
+@query(f"SELECT * FROM (VALUES {_values(READ)}) x(id, \"at\", t, r, g)")
 def reading_split_fixture(spark, sf_dir):
     rows = spark.createDataFrame(READINGS, "lang string, id int, t string, r string, g string")
     parts = F.when(F.col("lang") == "zh", K.split_reading(F.col("t"), F.col("r"), F.col("g"), "zh")).otherwise(K.split_reading(F.col("t"), F.col("r"), F.col("g"), "ja"))
