@@ -13,6 +13,11 @@ set travelling once; what they link is one component. Documents that still share
 send their whole sets as postings once. Lists within one component go, a document whose rest is less than a link needs goes
 as well, and of each other one only its rarest lists are joined, as many as a partner can't all miss. A pair comes out at the
 first list that it shares, and is compared on whole sets.
+
+That holds for pairs that share a list of few nodes. Wide lists would again give the square of their size, so no pairs are made of
+them: their nodes meet in packs of a fixed size, each pack of nodes of one list. A few rounds compare packs within, each time by
+another list; in the end each two packs are compared that share a list and aren't of one component. All pairs of a wide list are
+compared or known to be of one component.
 """
 
 from __future__ import annotations
@@ -39,6 +44,8 @@ LEAST_LEVEL, MOST_LEVEL = 3, 15
 STAR_ROUNDS = 3
 #: Documents compared together.
 BLOCK = 512
+#: Nodes of a list whose pairs are made one by one, at most.
+WIDE = 32
 
 
 class Sets:
@@ -432,16 +439,65 @@ class Join:
         whole = whole.repartition(partitions(self.spark), "node").withColumn("shared", F.count("*").over(own)).where(F.col("shared") >= least)
         prefix = whole.withColumn("rank", F.row_number().over(rarest)).where(F.col("rank") <= F.col("shared") - least + 1)
         prefix = prefix.withColumn("before", F.collect_list("token").over(rarest.rowsBetween(W.unboundedPreceding, -1)))
-        prefix = self.scratch.cut(prefix.select("token", "node", "nl", "component", "major", "before"))
+        prefix = self.scratch.cut(prefix.select("token", "node", "nl", "component", "size", "major", "before"))
         self.scratch.drop(lists)
-        side = lambda x: prefix.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "nl", "component", "before")], *(["major"] if x == "a" else []))
+        # lists are ordered by size, so that a pair without a common narrow list shares wide ones only
+        narrow, wide = prefix.where(F.col("size") <= WIDE), self.scratch.cut(prefix.where(F.col("size") > WIDE).select("token", "node", "component"))
+        side = lambda x: narrow.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "nl", "component", "before")], *(["major"] if x == "a" else []))
         # of each pair one node at least lies outside the list's commonest component
         once = (F.col("component_b") == F.col("major")) | (F.col("node_a") < F.col("node_b"))
         pairs = side("a").where("component_a <> major").join(side("b"), "token")
         pairs = pairs.where((F.col("component_a") != F.col("component_b")) & once & self.compatible(F.col("nl_a"), F.col("nl_b")) & ~F.arrays_overlap("before_a", "before_b"))
         pairs = self.scratch.cut(pairs.select(F.greatest("node_a", "node_b").alias("center"), F.least("node_a", "node_b").alias("member")).distinct())
         self.scratch.drop(prefix)
-        return self._settled(pairs)
+        return [*self._settled(pairs), *self._packed(wide)]
+
+    def _packed(self, lists: DataFrame) -> list[DataFrame]:
+        """Links that connect what those within each of ``lists`` (token, node, component) do, with a row for a node and a pack
+        instead of one for a pair."""
+        spark, scratch, found = self.spark, self.scratch, []
+        for turn in range(STAR_ROUNDS):
+            lists, before = scratch.cut(self._several(lists)), lists
+            scratch.drop(before)
+            if not lists.limit(1).count():
+                return found
+            packs = scratch.cut(self._packs(lists, turn))
+            mixed = packs.groupBy("pack").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("pack")
+            links = self._met(packs.join(mixed, "pack").select(F.col("pack").alias("center"), F.lit(0).alias("block"), "node"))
+            scratch.drop(packs)
+            if not links.limit(1).count():
+                break
+            found.append(links)
+            known = scratch.cut(components(spark, links.unionByName(lists.select(F.col("node").alias("a"), F.col("component").alias("b")).distinct()), scratch))
+            lists, before = scratch.cut(lists.drop("component").join(maybe_broadcast(known, 24), "node", "left").withColumn("component", F.coalesce("component", "node"))), lists
+            scratch.drop(before, known)
+        lists = scratch.cut(self._several(lists))
+        packs = scratch.cut(self._packs(lists, 0, True))
+        held = scratch.cut(lists.drop("component").join(packs, "node").groupBy("token", "pack").agg(F.min("component").alias("low"), F.max("component").alias("high")))
+        side = lambda x: held.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("pack", "low", "high")])
+        apart = (F.col("pack_a") <= F.col("pack_b")) & (F.least("low_a", "low_b") != F.greatest("high_a", "high_b"))
+        pairs = scratch.cut(side("a").join(side("b"), "token").where(apart).select("pack_a", "pack_b").distinct())
+        of = pairs.select(F.xxhash64("pack_a", "pack_b").alias("center"), F.explode(F.array_distinct(F.array("pack_a", "pack_b"))).alias("pack"))
+        links = self._met(of.join(packs, "pack").select("center", F.lit(0).alias("block"), "node"))
+        scratch.drop(lists, packs, held, pairs)
+        return [*found, links]
+
+    def _several(self, lists: DataFrame) -> DataFrame:
+        """Lists that several components have."""
+        several = lists.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("token")
+        return lists.join(several, "token", "left_semi")
+
+    def _packs(self, lists: DataFrame, turn: int, apart: bool = False) -> DataFrame:
+        """(node, component, pack): each node in a pack of nodes that share one of its lists, another in each turn; if ``apart``,
+        those of the list's commonest component in packs of their own."""
+        homes = lists.groupBy("node").agg(F.first("component").alias("component"), F.min_by("token", F.xxhash64("token", F.lit(turn))).alias("home"))
+        if apart:
+            per = homes.groupBy("home", "component").agg(F.count("*").alias("c")).groupBy("home").agg(F.max_by("component", F.struct("c", "component")).alias("major"))
+            homes = homes.join(per, "home").withColumn("inside", F.col("component") == F.col("major")).drop("major")
+        else:
+            homes = homes.withColumn("inside", F.lit(False))
+        sizes = homes.groupBy("home", "inside").agg(F.ceil(F.count("*") / (BLOCK // 2)).alias("blocks"))
+        return homes.join(sizes, ["home", "inside"]).select("node", "component", F.xxhash64("home", "inside", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("pack"))
 
     def _settled(self, pairs: DataFrame) -> list[DataFrame]:
         """Links that connect what those of ``pairs`` (center, member) do. Where nodes have many pairs each, every member first
@@ -469,14 +525,20 @@ class Join:
         sizes = stars.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         members = stars.join(sizes, "center").select("center", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block"), F.col("member").alias("node"))
         centers = sizes.select("center", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("center").alias("node"))
-        plan = members.unionByName(centers).join(self.holders, "node").groupBy("doc_id").agg(F.collect_list(F.struct("center", "block", "node")).alias("tasks"))
+        out = self._met(members.unionByName(centers))
+        self.scratch.drop(stars)
+        return out
+
+    def _met(self, rows: DataFrame) -> DataFrame:
+        """Links (a, b) among the nodes of each task of ``rows`` (center, block, node)."""
+        plan = rows.join(self.holders, "node").groupBy("doc_id").agg(F.collect_list(F.struct("center", "block", "node")).alias("tasks"))
         plan = self.scratch.cut(plan)
         size = plan.agg(F.coalesce(F.sum(F.size("tasks") * 32 + 24), F.lit(0))).first()[0]
         docs = self.docs.join(maybe_broadcast(plan, -(-size // max(1, plan.count()))), "doc_id").select("text", "tasks")
         rows = docs.mapInArrow(_placed_sets(self.sets), "center long, block int, node long, data binary")
         rows = rows.repartition(partitions(self.spark), "center", "block").sortWithinPartitions("center", "block")
         out = self.scratch.cut(rows.mapInArrow(_compare(self.percent), "a long, b long"))
-        self.scratch.drop(plan, stars)
+        self.scratch.drop(plan)
         return out
 
     def result(self) -> DataFrame:

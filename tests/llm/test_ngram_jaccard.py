@@ -97,6 +97,26 @@ def test_settled_pairs_connect_what_all_links_connect(spark):
     assert {doc[n]: low[known.get(n, n)] for n in nodes} == {doc[n]: want[doc[n]] for n in nodes}
 
 
+def test_dense_candidates_make_no_pairs(spark, monkeypatch):
+    """Near copies that are candidates all with all, some of them links: rows grow with the group, not with its square."""
+    rng = random.Random(31)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for at in rng.sample(range(150), 1 if i % 20 == 0 else 2 + i % 2):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs, tasks, settled, met = [], [], Join._settled, Join._met
+    monkeypatch.setattr(Join, "_settled", lambda self, p: pairs.append(p.count()) or settled(self, p))
+    monkeypatch.setattr(Join, "_met", lambda self, r: tasks.append(r.count()) or met(self, r))
+    monkeypatch.setattr(lexalign.llm.ngram_jaccard, "BLOCK", 64)
+    assert sorted(map(tuple, near_duplicates(spark, docs, 4, 85).collect()), key=str) == brute(docs.collect(), 4, 85)
+    assert sum(pairs) < 160 * 20
+    assert max(tasks) < 160 * 30
+
+
 def test_boilerplate_and_a_very_long_text(spark):
     """Documents that share most of a template, but not enough; a chain of passages; a text of many shingles beside them."""
     rng = random.Random(12)
