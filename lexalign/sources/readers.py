@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexalign import schema as S
@@ -35,9 +36,27 @@ def _stem() -> Column:
 
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
-    """(doc, ord, line): lines of Markdown files, by stem."""
-    rows = spark.read.text(path, wholetext=True).select(_stem().alias("doc"), "value")
-    return H.document_lines(rows, "doc", "value")
+    """(doc, ord, line): lines of Markdown files, by stem.
+
+    A file of any size is read in the splits that Spark makes of it, by records that end with a line feed and are cut at the other
+    separators. The splits' counts of lines, a row for each, tell where each begins."""
+    rows = spark.read.text(path, lineSep="\n").select(_stem().alias("doc"), "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_size").alias("_size"), F.monotonically_increasing_id().alias("_at"))
+    rows = rows.withColumn("_lines", X.lines(F.concat("value", F.lit("\n"))))
+    splits = rows.groupBy("_file", "_start").agg(F.sum(F.size("_lines")).alias("_n"), F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_size").alias("_size"), F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    of = W.partitionBy("_file")
+    before = F.coalesce(F.sum("_n").over(of.orderBy("_start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # the reader drops a byte order mark, three bytes; a file that ends without a line feed has one byte less than its records
+    missing = F.col("_size") - F.sum("_bytes").over(of)
+    mark = F.when(missing.isin(2, 3) & (F.col("_start") == F.min("_start").over(of)), F.col("_first"))
+    rest = F.when(missing.isin(-1, 2) & (F.col("_start") == F.max("_start").over(of)), F.col("_last"))
+    splits = splits.select("_file", "_start", before.alias("_before"), mark.alias("_mark"), rest.alias("_rest"))
+    rows = rows.join(splits, ["_file", "_start"])
+    done = F.sum(F.size("_lines")).over(W.partitionBy("_file", "_start").orderBy("_at")) - F.size("_lines")
+    text = F.when(F.col("_at") == F.col("_mark"), F.concat(F.lit("\ufeff"), "value")).otherwise(F.col("value"))
+    lines = X.lines(F.when(F.col("_at") == F.col("_rest"), text).otherwise(F.concat(text, F.lit("\n"))))
+    rows = rows.withColumn("_done", F.col("_before") + done)  # before the lines are rows, as a window beside an explode comes after it
+    rows = rows.select("doc", "_done", F.posexplode(lines).alias("_i", "line"))
+    return rows.select("doc", (F.col("_done") + F.col("_i")).cast("int").alias("ord"), "line")
 
 
 def epub_lines(lines: DataFrame, start_heading: str | None = None, start_text: str | None = None) -> DataFrame:

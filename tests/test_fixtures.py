@@ -270,6 +270,27 @@ def test_readers(spark, tmp_path):
     assert [r.value for r in S.log_values(spark.createDataFrame([("a", r"Overfull \hbox (12.5pt too wide)")], "log string, text string")).collect()] == [12.5]
 
 
+def test_markdown_is_read_in_splits(spark, tmp_path):
+    """Lines of files as of their whole texts, whatever ends them and wherever splits fall; several tasks read a file."""
+    texts = {"a": "x\r\n\n y\x0b\nz\u2028q\r", "b": "one\n\n", "c": "tail\x0b", "d": "\ufeff# t\nend\x0c", "e": "", "f": "\n", "g": "\ufeffm\n", "h": "".join(f"{i}{' ' * (i % 50)}{chr(10) if i % 7 else chr(13)}" for i in range(3000))}
+    for name, t in texts.items():
+        (tmp_path / f"{name}.md").write_bytes(t.encode())
+    whole = spark.read.text(str(tmp_path), wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), "^[a-z]", 0).alias("doc"), "value")
+    want = sorted(map(tuple, H.document_lines(whole, "doc", "value").collect()))
+    settings = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = S.read_markdown(spark, str(tmp_path))
+        assert got.columns == ["doc", "ord", "line"] and sorted(map(tuple, got.collect())) == want
+        assert spark.read.text(str(tmp_path / "h.md"), lineSep="\n").rdd.getNumPartitions() > 3
+        assert got.where("doc = 'h'").groupBy(F.spark_partition_id()).count().count() > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_stream_equals_batch(spark):
     from data_folder import DATA
 
