@@ -35,26 +35,41 @@ def _stem() -> Column:
     return F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
 
 
-def read_markdown(spark: SparkSession, path: str) -> DataFrame:
-    """(doc, ord, line): lines of Markdown files, by stem.
+#: Folder, number and number behind it of a part in a folder that Spark wrote; what ends a line beside a line feed.
+_PART = r"^(.*)/part-(\d+)-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?:[._-]c(\d+))?[^/]*$"
+_SEPARATORS = r"[\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
-    A file of any size is read in the splits that Spark makes of it, by records that end with a line feed and are cut at the other
+
+def read_markdown(spark: SparkSession, path: str, feeds: bool = False) -> DataFrame:
+    """(doc, ord, line): lines of Markdown files, by stem; with ``feeds`` only line feeds end them.
+
+    A folder of parts, as Spark's writers make it, is one file by the folder's name: its parts follow each other by number. A file of
+    any size is read in the splits that Spark makes of it, by records that end with a line feed and are cut at the other
     separators. The splits' counts of lines, a row for each, tell where each begins."""
-    rows = spark.read.text(path, lineSep="\n").select(_stem().alias("doc"), "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_size").alias("_size"), F.monotonically_increasing_id().alias("_at"))
-    rows = rows.withColumn("_lines", X.lines(F.concat("value", F.lit("\n"))))
-    splits = rows.groupBy("_file", "_start").agg(F.sum(F.size("_lines")).alias("_n"), F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_size").alias("_size"), F.min("_at").alias("_first"), F.max("_at").alias("_last"))
-    of = W.partitionBy("_file")
-    before = F.coalesce(F.sum("_n").over(of.orderBy("_start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    file = F.col("_metadata.file_path")
+    number = lambda i: F.regexp_extract(file, _PART, i).try_cast("int")
+    rows = spark.read.text(path, lineSep="\n").select("value", file.alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_block_length").alias("_length"), F.col("_metadata.file_size").alias("_size"), F.when(file.rlike(_PART), F.regexp_extract(file, _PART, 1)).otherwise(file).alias("_book"), F.struct(number(2), number(3)).alias("_part"), F.monotonically_increasing_id().alias("_at"))
+    cut = lambda c, end="": F.array(c) if feeds else F.when(F.col("value").rlike(_SEPARATORS), X.lines(F.concat(c, F.lit(end)))).otherwise(F.array(c))
+    rows = rows.withColumn("_count", F.size(cut(F.col("value"), "\n")))
+    splits = rows.groupBy("_file", "_start", "_length").agg(F.max("_book").alias("_book"), F.max("_part").alias("_part"), F.sum("_count").alias("_n"), F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_size").alias("_size"), F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    of, parts = W.partitionBy("_file"), W.partitionBy("_book").orderBy("_part", "_file", "_start")
+    before = F.coalesce(F.sum("_n").over(parts.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     # the reader drops a byte order mark, three bytes; a file that ends without a line feed has one byte less than its records
     missing = F.col("_size") - F.sum("_bytes").over(of)
     mark = F.when(missing.isin(2, 3) & (F.col("_start") == F.min("_start").over(of)), F.col("_first"))
     rest = F.when(missing.isin(-1, 2) & (F.col("_start") == F.max("_start").over(of)), F.col("_last"))
-    splits = splits.select("_file", "_start", before.alias("_before"), mark.alias("_mark"), rest.alias("_rest"))
-    rows = rows.join(splits, ["_file", "_start"])
-    done = F.sum(F.size("_lines")).over(W.partitionBy("_file", "_start").orderBy("_at")) - F.size("_lines")
+    doc = F.regexp_replace(F.substring_index("_book", "/", -1), r"\.[^.]*$", "")
+    splits = splits.select("_file", "_start", "_length", doc.alias("doc"), before.alias("_before"), "_first", mark.alias("_mark"), rest.alias("_rest"))
+    # rows without their split must not get lost: both readings are cut alike, else the query stops
+    rows = rows.drop("_size", "_book", "_part").join(F.broadcast(splits), ["_file", "_start", "_length"], "left")
+    begin = F.coalesce("_before", F.raise_error(F.lit("the files were cut in other splits when they were read again")).cast("long"))
+    # records of a split come one after the other; where one may be several lines they are summed up
+    done = F.col("_at") - F.col("_first") if feeds else F.sum("_count").over(W.partitionBy("_file", "_start").orderBy("_at")) - F.col("_count")
     text = F.when(F.col("_at") == F.col("_mark"), F.concat(F.lit("\ufeff"), "value")).otherwise(F.col("value"))
-    lines = X.lines(F.when(F.col("_at") == F.col("_rest"), text).otherwise(F.concat(text, F.lit("\n"))))
-    rows = rows.withColumn("_done", F.col("_before") + done)  # before the lines are rows, as a window beside an explode comes after it
+    lines = F.when(F.col("_at") == F.col("_rest"), cut(text)).otherwise(cut(text, "\n"))
+    rows = rows.withColumn("_done", begin + done)  # before the lines are rows, as a window beside an explode comes after it
+    if feeds:
+        return rows.select("doc", F.col("_done").cast("int").alias("ord"), text.alias("line"))
     rows = rows.select("doc", "_done", F.posexplode(lines).alias("_i", "line"))
     return rows.select("doc", (F.col("_done") + F.col("_i")).cast("int").alias("ord"), "line")
 

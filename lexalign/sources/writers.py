@@ -16,8 +16,8 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def write_lines(df: DataFrame, path: str, ord: str = "ord", line: str = "line") -> None:
-    """Lines in their order; one document is one file, so one task writes it."""
-    df.repartitionByRange(1, ord).sortWithinPartitions(ord).select(F.col(line).alias("value")).write.mode("overwrite").text(path)
+    """Lines in their order, as a folder of parts: a task writes each, and they follow each other by number."""
+    df.repartitionByRange(ord).sortWithinPartitions(ord).select(F.col(line).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_version(df: DataFrame, root: str, stamp: str) -> str:

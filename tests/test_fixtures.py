@@ -291,6 +291,42 @@ def test_markdown_is_read_in_splits(spark, tmp_path):
             spark.conf.set(k, v)
 
 
+def test_markdown_in_parts_is_one_file(spark, tmp_path):
+    """Lines go on from part to part, however many tasks write them, and cut at other places than line feeds only by default."""
+    rows = [f"{i}\r{i}" if i % 10 == 0 else str(i) for i in range(3000)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "ord int, line string").repartition(3, "line")
+    path, before = str(tmp_path / "book.md"), spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", "250")
+        W.write_lines(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    names = sorted(p.name[:10] for p in (tmp_path / "book.md").glob("part-*"))
+    assert len(set(names)) > 2 and len(names) >= 12
+    for feeds, want in ((True, rows), (False, [x for r in rows for x in r.split("\r")])):
+        got = S.read_markdown(spark, path, feeds)
+        assert sorted(map(tuple, got.collect())) == [("book", i, x) for i, x in enumerate(want)]
+
+
+def test_markdown_files_of_odd_documents(spark, tmp_path):
+    """Against the SQL: only line feeds end lines, empty texts and ends count, missing texts don't."""
+    import duckdb
+
+    from lexalign.plans import files
+
+    texts = ["\ufeffa\r\nb", "", None, "x\n", "\n\n", "p\x0bq\u2028r\x85s", "last\r", "\n", "\ufeff", ""]
+    rows = [(3_000_000_000 + 7 * i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows[::-1], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(con.execute(files.SQL["markdown_files"]).fetchall())
+    assert len(want) == 14
+    assert sorted(map(tuple, files.QUERIES["markdown_files"](spark, str(tmp_path)).collect())) == want
+
+
 def test_stream_equals_batch(spark):
     from data_folder import DATA
 
