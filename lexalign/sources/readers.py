@@ -46,12 +46,12 @@ def read_markdown(spark: SparkSession, path: str, feeds: bool = False) -> DataFr
     A folder of parts, as Spark's writers make it, is one file by the folder's name: its parts follow each other by number. A file of
     any size is read in the splits that Spark makes of it, by records that end with a line feed and are cut at the other
     separators. The splits' counts of lines, a row for each, tell where each begins."""
-    file = F.col("_metadata.file_path")
-    number = lambda i: F.regexp_extract(file, _PART, i).try_cast("int")
-    rows = spark.read.text(path, lineSep="\n").select("value", file.alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_block_length").alias("_length"), F.col("_metadata.file_size").alias("_size"), F.when(file.rlike(_PART), F.regexp_extract(file, _PART, 1)).otherwise(file).alias("_book"), F.struct(number(2), number(3)).alias("_part"), F.monotonically_increasing_id().alias("_at"))
+    rows = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_block_length").alias("_length"), F.col("_metadata.file_size").alias("_size"), F.monotonically_increasing_id().alias("_at"))
     cut = lambda c, end="": F.array(c) if feeds else F.when(F.col("value").rlike(_SEPARATORS), X.lines(F.concat(c, F.lit(end)))).otherwise(F.array(c))
     rows = rows.withColumn("_count", F.size(cut(F.col("value"), "\n")))
-    splits = rows.groupBy("_file", "_start", "_length").agg(F.max("_book").alias("_book"), F.max("_part").alias("_part"), F.sum("_count").alias("_n"), F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_size").alias("_size"), F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    splits = rows.groupBy("_file", "_start", "_length").agg(F.sum("_count").alias("_n"), F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_size").alias("_size"), F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    number = lambda i: F.regexp_extract("_file", _PART, i).try_cast("int")
+    splits = splits.withColumns({"_book": F.when(F.col("_file").rlike(_PART), F.regexp_extract("_file", _PART, 1)).otherwise(F.col("_file")), "_part": F.struct(number(2), number(3))})
     of, parts = W.partitionBy("_file"), W.partitionBy("_book").orderBy("_part", "_file", "_start")
     before = F.coalesce(F.sum("_n").over(parts.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     # the reader drops a byte order mark, three bytes; a file that ends without a line feed has one byte less than its records
@@ -61,7 +61,7 @@ def read_markdown(spark: SparkSession, path: str, feeds: bool = False) -> DataFr
     doc = F.regexp_replace(F.substring_index("_book", "/", -1), r"\.[^.]*$", "")
     splits = splits.select("_file", "_start", "_length", doc.alias("doc"), before.alias("_before"), "_first", mark.alias("_mark"), rest.alias("_rest"))
     # rows without their split must not get lost: both readings are cut alike, else the query stops
-    rows = rows.drop("_size", "_book", "_part").join(F.broadcast(splits), ["_file", "_start", "_length"], "left")
+    rows = rows.drop("_size").join(F.broadcast(splits), ["_file", "_start", "_length"], "left")
     begin = F.coalesce("_before", F.raise_error(F.lit("the files were cut in other splits when they were read again")).cast("long"))
     # records of a split come one after the other; where one may be several lines they are summed up
     done = F.col("_at") - F.col("_first") if feeds else F.sum("_count").over(W.partitionBy("_file", "_start").orderBy("_at")) - F.col("_count")
